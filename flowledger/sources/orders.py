@@ -60,7 +60,11 @@ def _pick(value: Column, cases: dict, otherwise) -> Column:
     return chosen
 
 
-def _joined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def team_of(region: Column) -> Column:
+    return _pick(region, _TEAM_OF_REGION, "FieldOps")
+
+
+def joined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with segment, region and line counts. Only the columns in use are read."""
     lines = (
         _table(spark, sf_dir, "lineitem")
@@ -149,7 +153,7 @@ def _events(orders: DataFrame, deliveries: Column) -> DataFrame:
             F.concat(F.lit("WF-"), F.lpad(k.cast("string"), 8, "0"))
         ),
         "workflow_type": F.col("_kind"),
-        "team_name": _pick(F.col("r_name"), _TEAM_OF_REGION, "FieldOps"),
+        "team_name": team_of(F.col("r_name")),
         "assignee_id": F.when(every(13), F.lit("")).otherwise(
             F.concat(F.lit("USR-"), (1000 + F.col("o_custkey") % 500).cast("string"))
         ),
@@ -195,14 +199,14 @@ def _resent() -> Column:
 
 
 def main_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(_joined_orders(spark, sf_dir), F.array(F.lit(0)))
+    return _events(joined_orders(spark, sf_dir), F.array(F.lit(0)))
 
 
 def late_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(_joined_orders(spark, sf_dir).where(_resent()), F.array(F.lit(1)))
+    return _events(joined_orders(spark, sf_dir).where(_resent()), F.array(F.lit(1)))
 
 
 def all_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both files as one batch, in one pass: many workflows come twice."""
     both = F.when(_resent(), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return _events(_joined_orders(spark, sf_dir), both)
+    return _events(joined_orders(spark, sf_dir), both)

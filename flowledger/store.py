@@ -81,12 +81,13 @@ class Warehouse:
         if not self.table_exists(table):
             raise TableNotFound(f"{table.layer}.{table.name} does not exist in {self.root}")
         columns = {c: table.type_of(c) for c in table.columns}
-        if self.layout(table):
-            columns.setdefault(self.layout(table), "int")
+        layout = self.layout(table)
         path = self._current(table)
         if path is None:
-            empty = self.spark.range(0)
-            return empty.select(*[F.lit(None).cast(t).alias(c) for c, t in columns.items()])
+            empty = table.empty(self.spark)
+            return empty if layout in (None, *columns) else empty.withColumn(layout, F.lit(0))
+        if layout:
+            columns.setdefault(layout, "int")
         ddl = ", ".join(f"`{c}` {t}" for c, t in columns.items())
         return self.spark.read.schema(ddl).parquet(path).select(*columns)
 

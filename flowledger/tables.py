@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-REQUIRED = "required"  # NOT NULL
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 @dataclass(frozen=True, eq=False)
@@ -36,6 +34,11 @@ class Table:
     def required(self) -> list[str]:
         return [c for c, t in self.columns.items() if t.endswith("!")]
 
+    def empty(self, spark: SparkSession) -> DataFrame:
+        return spark.range(0).select(
+            *[F.lit(None).cast(self.type_of(c)).alias(c) for c in self.columns]
+        )
+
     def conform(self, df: DataFrame) -> DataFrame:
         """Project to the stored columns and types, with defaults and the load time filled in."""
         return df.select(*[self._stored(df, c).alias(c) for c in self.columns])
