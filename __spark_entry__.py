@@ -80,8 +80,8 @@ def _warehouse_after_two_loads(spark, sf_dir):
     def build():
         store = _empty_warehouse(spark)
         for delivery in (orders.main_delivery, orders.late_delivery):
-            run = scratch_path(spark, "run")
-            pipeline.refresh_rows(store, delivery(spark, sf_dir), run, orders.AS_OF)
+            valid = validate(delivery(spark, sf_dir)).staged().valid
+            loads.load_warehouse(store, stage(staging.prepare_staging(valid, orders.AS_OF)))
         return store
 
     return _once(spark, sf_dir, "two loads", build)

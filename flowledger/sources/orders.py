@@ -44,13 +44,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Let all cores work on a source that comes in fewer splits than there are cores.
+def _spread(df: DataFrame, source: DataFrame) -> DataFrame:
+    """Let all cores work on rows whose source comes in fewer splits than there are cores.
 
     Such a source is small by definition; a large one has splits enough and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if source.rdd.getNumPartitions() < cores else df
 
 
 def _pick(value: Column, cases: dict, otherwise) -> Column:
@@ -84,16 +84,15 @@ def joined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "n_name", "r_name")
     )
-    return (
-        _spread(
-            _table(spark, sf_dir, "orders").select(
-                "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
-            )
-        )
-        .join(customers, "o_custkey")
+    placed = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
+    )
+    joined = (
+        placed.join(customers, "o_custkey")
         .join(lines, "o_orderkey", "left")
         .fillna(0, ["n_lines", "n_ret"])
     )
+    return _spread(joined, placed)
 
 
 def _iso(instant: Column) -> Column:
