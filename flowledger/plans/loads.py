@@ -109,15 +109,22 @@ def raw_key_map(raw: DataFrame, batch: DataFrame) -> DataFrame:
     return raw.join(files, "source_file_name", "left_semi").select("raw_event_id", *SOURCE_KEY)
 
 
-def resolve_raw_keys(store: Warehouse, valid: DataFrame) -> DataFrame:
-    """Valid rows with the raw_event_id of their source row; the first of several copies is kept.
+def batch_raw_keys(store: Warehouse, valid: DataFrame) -> DataFrame:
+    """(raw_event_id, file, row) of the stored rows a batch refers to.
 
-    Joins on (file, row) directly, within the buckets the batch touches: unlike a join on the file
-    name it cannot be skewed by one large file. Both sides are already unique per key, and the
-    deduplication leaves the rows partitioned the way the join needs them.
+    Matches on (file, row), within the buckets the batch touches: unlike a match on the file name it
+    cannot be skewed by one large file.
     """
     stored = store.within(RAW, store.touched(RAW, valid)).select("raw_event_id", *SOURCE_KEY)
-    return first_per_key(valid, SOURCE_KEY).join(stored, list(SOURCE_KEY))
+    return stored.join(valid.select(*SOURCE_KEY), list(SOURCE_KEY), "left_semi")
+
+
+def with_raw_keys(valid: DataFrame, raw_keys: DataFrame) -> DataFrame:
+    """Valid rows with the raw_event_id of their source row; the first of several copies is kept.
+
+    The deduplication leaves the rows partitioned by (file, row), the way the join needs them.
+    """
+    return first_per_key(valid, SOURCE_KEY).join(raw_keys, list(SOURCE_KEY))
 
 
 # --- staging --------------------------------------------------------------------------------

@@ -16,13 +16,14 @@ from flowledger.operators.numbering import stage, with_place, with_row_number
 from flowledger.operators.staging import prepare_staging
 from flowledger.operators.validation import Validated, summarise_validation, validate
 from flowledger.plans.loads import (
+    batch_raw_keys,
     check_batch,
     check_staging,
     load_quarantine,
     load_raw,
     load_staging,
     load_warehouse,
-    resolve_raw_keys,
+    with_raw_keys,
 )
 from flowledger.session import configure, scratch_path
 from flowledger.sources.files import exists
@@ -138,10 +139,8 @@ def load_and_stage(
         check_staging(checked.valid, moment)
         load_quarantine(store, checked.invalid, f"{run_dir}/diagnostics")
         load_raw(store, checked.valid)
-        resolved = _kept(
-            spark, f"{run_dir}/resolved", lambda: resolve_raw_keys(store, checked.valid)
-        )
-        stage(prepare_staging(resolved, moment), path)
+        raw_keys = _kept(spark, f"{run_dir}/raw_keys", lambda: batch_raw_keys(store, checked.valid))
+        stage(prepare_staging(with_raw_keys(checked.valid, raw_keys), moment), path)
     staging = spark.read.parquet(path)
     if staging.isEmpty():
         raise RuntimeError("No raw keys were resolved for staging rows")

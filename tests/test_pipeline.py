@@ -177,7 +177,7 @@ def test_refresh_goes_on_behind_the_last_finished_stage(spark, store, tmp_path,
         with pytest.raises(RuntimeError, match="lost"):
             refresh(store, path, runs, "day", AS_OF)
     with monkeypatch.context() as patch:
-        for done in ("load_raw", "load_quarantine", "resolve_raw_keys"):
+        for done in ("load_raw", "load_quarantine", "batch_raw_keys"):
             patch.setattr(pipeline, done, fails)
         result = refresh(store, path, runs, "day", AS_OF)
     assert result["database_row_counts"] == {
