@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from flowledger.functions.timing import calendar_date, date_key, stored_hours
@@ -43,7 +47,6 @@ from flowledger.tables import (
     KPI_DAILY_SUMMARY,
     QUARANTINE,
     RAW,
-    SLICED,
     STAGING,
     Table,
 )
@@ -51,6 +54,13 @@ from flowledger.tables import (
 SOURCE_KEY = ("source_file_name", "source_row_number")
 
 
+def together(*steps: Callable[[], object]) -> list:
+    """Run independent Spark jobs side by side, so that the tail of one leaves no cores idle."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(step) for step in steps]
+        return [step.result() for step in running]
+
+
 def check_batch(valid: DataFrame) -> None:
     """Refuse a batch that the raw table could not hold, before anything is written."""
     stored = [c for c in RAW.required if c not in (RAW.surrogate, RAW.stamped)]
@@ -148,9 +158,12 @@ def load_staging(store: Warehouse, staging: DataFrame) -> None:
 
 def load_dimensions(store: Warehouse, staging: DataFrame) -> None:
     members = build_dimensions(staging)
-    for table in DIMENSIONS:
+
+    def load(table: Table) -> None:
         store.snapshot(table, upsert_dimension(store.read(table), members[table.name], table))
 
+    together(*[partial(load, table) for table in DIMENSIONS])
+
 
 def load_warehouse(store: Warehouse, staging: DataFrame) -> DataFrame:
     """Dimensions, then facts, then the mart; returns (table_name, loaded_rows).
@@ -159,32 +172,35 @@ def load_warehouse(store: Warehouse, staging: DataFrame) -> DataFrame:
     """
     if staging.isEmpty():
         return staging.sparkSession.range(0).selectExpr("'' AS table_name", "id AS loaded_rows")
-    load_dimensions(store, staging)
-    backlog = stage(build_backlog_daily(staging))
-    kpi = stage(build_kpi_daily(staging))
-    frames = {
-        FACT_WORKFLOW_RUN: fact_workflow_run(staging, store),
-        FACT_EXCEPTION: fact_exception(staging, store),
-        FACT_BACKLOG_DAILY: fact_backlog_daily(backlog, store),
-        KPI_DAILY_SUMMARY: kpi_daily_summary(kpi, store),
-    }
-    dates = stage(
-        staging.select(date_key(calendar_date(F.col("created_at"))).alias("date_key")).distinct()
+    day = date_key(calendar_date(F.col("created_at")))
+    _, dates, backlog, kpi = together(
+        lambda: load_dimensions(store, staging),
+        lambda: stage(staging.select(day.alias("date_key")).distinct()),
+        lambda: stage(build_backlog_daily(staging)),
+        lambda: stage(build_kpi_daily(staging)),
+    )
+
+    def load(table: Table, rows: DataFrame) -> None:
+        numbered = rows.withColumnRenamed(EVENT_NUMBER, table.surrogate)
+        replace_slices(store, table, table.conform(numbered), dates)
+
+    together(
+        lambda: load(FACT_WORKFLOW_RUN, fact_workflow_run(staging, store)),
+        lambda: load(FACT_EXCEPTION, fact_exception(staging, store)),
+        lambda: load(FACT_BACKLOG_DAILY, fact_backlog_daily(backlog, store)),
     )
-    sources = {
+    load(KPI_DAILY_SUMMARY, kpi_daily_summary(kpi, store))
+    loaded = {
         FACT_WORKFLOW_RUN: staging,
         FACT_EXCEPTION: staging.where("exception_flag"),
         FACT_BACKLOG_DAILY: backlog,
         KPI_DAILY_SUMMARY: kpi,
     }
-    for table in SLICED:
-        rows = frames[table].withColumnRenamed(EVENT_NUMBER, table.surrogate)
-        replace_slices(store, table, table.conform(rows), dates)
     counts = [
         df.agg(F.lit(t.name).alias("table_name"), F.count("*").alias("loaded_rows"))
-        for t, df in sources.items()
+        for t, df in loaded.items()
     ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    return reduce(DataFrame.unionByName, counts)
 
 
 def replace_slices(store: Warehouse, table: Table, incoming: DataFrame, dates: DataFrame) -> None:

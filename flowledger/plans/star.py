@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 
 from flowledger.operators.dimensions import build_dimensions, upsert_dimension
 from flowledger.operators.facts import build_facts
 from flowledger.operators.numbering import stage
-from flowledger.tables import DIMENSIONS, SLICED
+from flowledger.plans.loads import together
+from flowledger.tables import DIMENSIONS, SLICED, Table
 
 
 def star_of(staging: DataFrame) -> dict[str, DataFrame]:
@@ -17,8 +20,11 @@ def star_of(staging: DataFrame) -> dict[str, DataFrame]:
     """
     spark = staging.sparkSession
     members = build_dimensions(staging)
-    dims = {
-        t.name: stage(upsert_dimension(t.empty(spark), members[t.name], t)) for t in DIMENSIONS
-    }
+
+    def build(table: Table) -> DataFrame:
+        return stage(upsert_dimension(table.empty(spark), members[table.name], table))
+
+    built = together(*[partial(build, t) for t in DIMENSIONS])
+    dims = {t.name: df for t, df in zip(DIMENSIONS, built, strict=True)}
     facts = build_facts(staging, dims)
     return {**dims, **{t.name: t.conform(facts[t.name]) for t in SLICED}}
