@@ -114,7 +114,10 @@ def load_raw(store: Warehouse, valid: DataFrame) -> None:
 
 
 def raw_key_map(raw: DataFrame, batch: DataFrame) -> DataFrame:
-    """(raw_event_id, file, row) of every stored row of the files in a batch."""
+    """(raw_event_id, file, row) of every stored row of the files in a batch.
+
+    For callers who want whole files. The loads use `batch_raw_keys`, which reads less.
+    """
     files = batch.select("source_file_name").where("source_file_name IS NOT NULL").distinct()
     return raw.join(files, "source_file_name", "left_semi").select("raw_event_id", *SOURCE_KEY)
 
