@@ -27,6 +27,12 @@ from flowledger.sources.profile import source_profile  # noqa: E402
 from flowledger.store import Warehouse  # noqa: E402
 from flowledger.tables import ALL_TABLES, DIM_TEAM  # noqa: E402
 
+try:  # the corpus operators are a part of their own, which may be left out
+    import corpus_pipeline  # noqa: E402
+    from flowledger.llm import queries as corpus  # noqa: E402
+except ImportError:
+    corpus_pipeline = corpus = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -495,7 +501,11 @@ def queries() -> dict[str, Query]:
         "dedup_events": _dedup_events,
         "events_daily": _events_daily,
     }
-    return {name: _with_session(query) for name, query in registered.items()}
+    found = {name: _with_session(query) for name, query in registered.items()}
+    if corpus:
+        found |= corpus.queries()
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def _with_session(query: Query) -> Query:
@@ -503,4 +513,9 @@ def _with_session(query: Query) -> Query:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    found = dict(oracle.oracle_sql())
+    if corpus:
+        found |= corpus.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
