@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowledger.llm import quality_rules as rules
+from flowledger.llm import quality_rules as rules, simhash
 from flowledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +17,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "score", "kept")
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs)
+
+
 def queries() -> dict[str, Query]:
-    found = [op4_quality_rules]
+    found = [op4_quality_rules, op8_simhash_near_dedup]
     return {f.__name__: f for f in found}
 
 
