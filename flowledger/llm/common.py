@@ -40,3 +40,15 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def wrapped(df: DataFrame, *needed: str) -> DataFrame:
+    """Every column inside `row`, and copies of those an operator needs: no name can clash."""
+    return df.select(F.struct("*").alias("row"), *needed)
+
+
+def unwrapped(df: DataFrame, *added: str) -> DataFrame:
+    """The columns of `row`, and the added ones in place of columns of the same name."""
+    names = {a.lower() for a in added}
+    own = [f.name for f in df.schema["row"].dataType.fields if f.name.lower() not in names]
+    return df.select(*[F.col("row")[c].alias(c) for c in own], *added)

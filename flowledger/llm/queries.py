@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowledger.llm import quality_rules as rules, simhash
+from flowledger.llm import mixing, quality_rules as rules, sharding, simhash
 from flowledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sizes(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "score", "kept")
@@ -22,10 +27,14 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs)
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_sizes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    found = [op4_quality_rules, op8_simhash_near_dedup]
+    found = [op3_mixing, op4_quality_rules, op8_simhash_near_dedup, op10_sharding]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": mixing.ORACLE_SQL, "op10_sharding": sharding.oracle_sql()}
