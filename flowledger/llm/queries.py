@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowledger.llm import mixing, quality_rules as rules, sharding, simhash
+from flowledger.llm import byte_bpe, mixing, quality_rules as rules, sharding, simhash
 from flowledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,17 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "score", "kept")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = byte_bpe.with_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    decoded = byte_bpe.with_decoded(tokens.drop("text"))
+    return decoded.select(
+        "doc_id",
+        F.size("token_ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("token_ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs)
@@ -32,7 +43,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_mixing, op4_quality_rules, op8_simhash_near_dedup, op10_sharding]
+    found = [op3_mixing, op4_quality_rules, op6_byte_bpe, op8_simhash_near_dedup, op10_sharding]
     return {f.__name__: f for f in found}
 
 
