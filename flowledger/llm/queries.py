@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowledger.llm import byte_bpe, mixing, quality_rules as rules, sharding, simhash
+from flowledger.llm import byte_bpe, mixing, quality_rules as rules, sharding, simhash, suffix_dedup
 from flowledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "score", "kept")
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.suffix_dedup(docs)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = byte_bpe.with_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
     decoded = byte_bpe.with_decoded(tokens.drop("text"))
@@ -43,7 +55,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_mixing, op4_quality_rules, op6_byte_bpe, op8_simhash_near_dedup, op10_sharding]
+    found = [op3_mixing, op4_quality_rules, op5_suffix_array_dedup, op6_byte_bpe, op8_simhash_near_dedup, op10_sharding]
     return {f.__name__: f for f in found}
 
 
