@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowledger.llm import byte_bpe, mixing, quality_rules as rules, sharding, simhash, suffix_dedup
+from flowledger.llm import (
+    byte_bpe,
+    mixing,
+    quality_rules as rules,
+    sharding,
+    simhash,
+    suffix_dedup,
+    vector_topk,
+)
 from flowledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,14 +58,22 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs)
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_sizes(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_mixing, op4_quality_rules, op5_suffix_array_dedup, op6_byte_bpe, op8_simhash_near_dedup, op10_sharding]
+    found = [op3_mixing, op4_quality_rules, op5_suffix_array_dedup, op6_byte_bpe, op8_simhash_near_dedup, op9_exact_top_k, op10_sharding]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE_SQL, "op10_sharding": sharding.oracle_sql()}
+    return {
+        "op3_mixing": mixing.ORACLE_SQL,
+        "op9_exact_top_k": vector_topk.ORACLE_SQL,
+        "op10_sharding": sharding.oracle_sql(),
+    }
