@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowledger.llm import (
     byte_bpe,
+    html_template,
     mixing,
     quality_rules as rules,
     sharding,
@@ -20,6 +21,11 @@ from flowledger.llm.common import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html_template.extract(table(spark, sf_dir, "pages"))
+    return extracted.select("page_id", "url", "text", "n_chars")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sizes(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -67,7 +73,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_mixing, op4_quality_rules, op5_suffix_array_dedup, op6_byte_bpe, op8_simhash_near_dedup, op9_exact_top_k, op10_sharding]
+    found = [
+        op1_html_template,
+        op3_mixing,
+        op4_quality_rules,
+        op5_suffix_array_dedup,
+        op6_byte_bpe,
+        op8_simhash_near_dedup,
+        op9_exact_top_k,
+        op10_sharding,
+    ]
     return {f.__name__: f for f in found}
 
 
