@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowledger.llm import (
     byte_bpe,
+    chat_format,
     html_template,
     mixing,
     quality_rules as rules,
@@ -26,6 +27,11 @@ def op1_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted.select("page_id", "url", "text", "n_chars")
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat_format.with_injection(table(spark, sf_dir, "conversations"))
+    return chat_format.conversation_digests(turns)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sizes(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -75,6 +81,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     found = [
         op1_html_template,
+        op2_chat_format,
         op3_mixing,
         op4_quality_rules,
         op5_suffix_array_dedup,
@@ -88,6 +95,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_chat_format": chat_format.ORACLE_SQL,
         "op3_mixing": mixing.ORACLE_SQL,
         "op9_exact_top_k": vector_topk.ORACLE_SQL,
         "op10_sharding": sharding.oracle_sql(),
