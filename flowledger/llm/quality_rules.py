@@ -182,7 +182,9 @@ def judge(
     df = base_counts(df.withColumn(words, word_list(F.col(text))), text, words)
     df = with_mean_ratio(df, words, ratio, "score").drop(text, words)
     kept = ~F.col("base_failed") & (F.coalesce(F.col("score"), F.lit(0.0)) >= threshold)
-    return df.withColumn("kept", kept)
+    # The last term is always true. Since it isn't deterministic, the optimizer leaves a filter on `kept`
+    # above this projection; pushed down, it would evaluate the array functions within one another.
+    return df.withColumn("kept", kept & (F.monotonically_increasing_id() >= 0))
 
 
 def quality_rules(
