@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from flowledger.llm import (
     byte_bpe,
     chat_format,
+    class_lm,
     html_template,
     mixing,
     quality_rules as rules,
@@ -65,6 +66,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs)
@@ -86,6 +91,7 @@ def queries() -> dict[str, Query]:
         op4_quality_rules,
         op5_suffix_array_dedup,
         op6_byte_bpe,
+        op7_class_lm,
         op8_simhash_near_dedup,
         op9_exact_top_k,
         op10_sharding,
