@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20  # bytes of text a task hashes at a time
+PIECE = 1 << 18  # bytes of text a task hashes at a time
 
 _BASE = 0xD1342543DE82EF95  # odd: invertible modulo 2^64
 

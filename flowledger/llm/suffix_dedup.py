@@ -35,19 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowledger.llm.common import unwrapped, wrapped
+from flowledger.llm.rolling import PIECE, POWERS, buffer_of
 from flowledger.operators.numbering import stage
 
 MIN_BYTES = 100
 GRAM = 32  # bytes hashed for a key; at most MIN_BYTES
 RUN_WINDOWS = 512  # longest run
-PIECE = 1 << 20  # bytes of text a task hashes at a time
-BLOCK = 1 << 21  # bytes of runs a task sorts at a time, but never less than a whole key
-HOT_CLASSES = 10_000  # different runs of one key that are sorted in one block
+BLOCK = 1 << 19  # bytes of runs a task sorts at a time, but never less than a whole key
+HOT_CLASSES = 4000  # different runs of one key that are sorted in one block
+SLICE = 512  # texts a task holds as Python objects at a time
 _PLACE_BITS = np.uint64(21)  # bits for a place in a piece; the others of a gram's hash make the key
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-_R = 0xD1342543DE82EF95  # odd: invertible modulo 2^64
-_R_BACK = pow(_R, -1, 1 << 64)
 _LAST_ID = np.iinfo(np.int64).max  # stands for a null id
 
 RESULT = ["n_bytes", "removed", "kept"]
@@ -56,25 +55,6 @@ RESULT = ["n_bytes", "removed", "kept"]
 # --- runs of windows ----------------------------------------------------------------------------------
 
 
-class _Powers:
-    """R^i and R^-i modulo 2^64, grown on demand."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int):
-        if len(self.up) < n:
-            n = max(n, 2 * PIECE)
-            for name, base in (("up", _R), ("down", _R_BACK)):
-                powers = np.full(n, base, np.uint64)
-                powers[0] = 1
-                setattr(self, name, np.multiply.accumulate(powers))
-        return self.up[:n], self.down[:n]
-
-
-_powers = _Powers()
-
-
 def _mixed(data: np.ndarray) -> np.ndarray:
     """A hash of the eight bytes at every place."""
     x = np.ndarray((len(data) - 7,), np.dtype("<u8"), buffer=data, strides=(1,)) * _M1
@@ -107,7 +87,7 @@ def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
 
 def _window_hashes(x: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of the bytes [start, end) for each pair."""
-    up, down = _powers.upto(len(x) + 1)
+    up, down = POWERS.upto(len(x) + 1)
     sums = np.zeros(len(x) + 1, np.uint64)
     np.cumsum(x * up[: len(x)], out=sums[1:])
     h = (sums[ends - 7] - sums[starts]) * down[starts]
@@ -195,20 +175,11 @@ def _twice(grams, keys, least, at, until, width) -> np.ndarray:
     return twice
 
 
-def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a string column; nulls are empty."""
-    column = column.cast(pa.large_binary()).fill_null(b"")
-    _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
-    return data, offsets
-
-
 def _key_counts(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        found = list(runs(*_buffer(batch.column("text")), min_bytes, whole=False))
+        found = list(runs(*buffer_of(batch.column("text")), min_bytes, whole=False))
         if found:
             keys, twice = (np.concatenate(c) for c in zip(*found, strict=True))
             # a run that may repeat itself counts as two
@@ -221,7 +192,7 @@ def _all_runs(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.
         if not batch.num_rows:
             continue
         doc, place = (np.asarray(batch.column(c)) for c in ("doc", "place"))
-        for key, number, start, windows, hashes, twice in runs(*_buffer(batch.column("text")), min_bytes):
+        for key, number, start, windows, hashes, twice in runs(*buffer_of(batch.column("text")), min_bytes):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(v)
@@ -348,7 +319,7 @@ def _block_spans(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[
 def _segments(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
     """Bytes of the wanted runs of each text."""
     names = ["key", "classes", "start", "windows"]
-    for batch in batches:
+    for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
         wanted = batch.column("wanted")
         key, classes, start, windows = (np.asarray(wanted.values.field(c)) for c in names)
         offsets = np.asarray(wanted.offsets)
@@ -367,7 +338,7 @@ def _segments(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.
 
 def _hashed_windows(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
     """Every window of the runs of hot keys by its hash."""
-    for batch in batches:
+    for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
         for row in batch.to_pylist():
             x = _mixed(np.frombuffer(row["bytes"], np.uint8))
             at = np.arange(len(row["bytes"]) - min_bytes + 1)

@@ -76,7 +76,7 @@ def passages(seed):
     return rows
 
 
-@pytest.mark.parametrize("hot_classes", [10_000, 2])
+@pytest.mark.parametrize("hot_classes", [sd.HOT_CLASSES, 2])
 def test_passages_copies_and_periods(spark, hot_classes):
     rows = passages(1)
     got = sd.suffix_dedup(documents(spark, rows).repartition(5), hot_classes=hot_classes)
