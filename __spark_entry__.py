@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
 
 from checks import oracle  # noqa: E402
+from flowledger.constants import SOURCE_COLUMNS, TIMESTAMP_COLUMNS  # noqa: E402
 from flowledger.functions.numeric import ratio_half_up  # noqa: E402
 from flowledger.operators import constraints, dimensions, facts, keyed, staging  # noqa: E402
 from flowledger.operators.numbering import number_rows, stage  # noqa: E402
@@ -144,15 +145,18 @@ def _bool_int_coercion(spark, sf_dir):
 
 
 def _timestamp_parse(spark, sf_dir):
-    source = _source(spark, sf_dir).withColumn("started_text", F.col("started_at"))
-    return _plain(
-        normalise_source(source).select(
-            *_SOURCE_KEY,
-            "started_text",
-            "started_at",
-            F.array_contains("_unparsed", "invalid_started_at").alias("unparsed"),
+    cells = {f"{c}_text": F.col(c) for c in TIMESTAMP_COLUMNS}
+    source = _source(spark, sf_dir).withColumns(cells)
+    found = [
+        (
+            F.col(f"{c}_text"),
+            F.col(c),
+            F.array_contains("_unparsed", f"invalid_{c}").alias(f"{c}_unparsed"),
         )
-    )
+        for c in TIMESTAMP_COLUMNS
+    ]
+    typed = normalise_source(source)
+    return _plain(typed.select(*_SOURCE_KEY, *[column for group in found for column in group]))
 
 
 def _validation_errors(spark, sf_dir):
@@ -206,6 +210,14 @@ def _dimension(name: str) -> Query:
     return lambda spark, sf_dir: _plain(_star(spark, sf_dir)[name])
 
 
+def _priorities_in_use(spark, sf_dir):
+    """The priority dimension with the number of runs that point to each member."""
+    star = _star(spark, sf_dir)
+    runs = star["fact_workflow_run"].groupBy("priority_key").agg(F.count("*").alias("n_runs"))
+    members = star["dim_priority"].join(runs, "priority_key", "left")
+    return _plain(members.withColumn("n_runs", F.coalesce("n_runs", F.lit(0))))
+
+
 def _keyed(name: str) -> Query:
     """A fact or mart table with its dimension keys, without generated keys and load times."""
 
@@ -351,6 +363,12 @@ def _load_counts(spark, sf_dir):
     return spark.read.json(f"{run}/warehouse_counts").select("table_name", "loaded_rows")
 
 
+def _row_account(spark, sf_dir):
+    """Where every source row of the load went, part by part."""
+    _, _, result = _warehouse(spark, sf_dir)
+    return spark.createDataFrame(list(result["row_account"].items()), "part string, n bigint")
+
+
 def _quality_summary(spark, sf_dir):
     store, _, _ = _warehouse(spark, sf_dir)
     return pipeline.quality_summary(store)
@@ -367,9 +385,7 @@ def _constraint_audit(spark, sf_dir):
 
 def _not_null_check(spark, sf_dir):
     rows = validate(_source(spark, sf_dir)).rows
-    return constraints.null_counts(
-        rows, ["assignee_id", "started_at", "completed_at", "workflow_id"]
-    )
+    return constraints.null_counts(rows, SOURCE_COLUMNS)
 
 
 def _unique_check(spark, sf_dir):
@@ -446,7 +462,7 @@ def queries() -> dict[str, Query]:
         ),
         "dim_team": _dimension("dim_team"),
         "dim_workflow_type": _dimension("dim_workflow_type"),
-        "dim_priority": _dimension("dim_priority"),
+        "dim_priority": _priorities_in_use,
         "dim_status": _dimension("dim_status"),
         "dim_date": _dimension("dim_date"),
         "kpi_daily_summary": lambda s, d: _plain(facts.build_kpi_daily(_staging(s, d))),
@@ -493,6 +509,7 @@ def queries() -> dict[str, Query]:
         "slice_replace": _slice_replace,
         "slice_replace_exceptions": _slice_replace_exceptions,
         "load_counts": _load_counts,
+        "row_account": _row_account,
         "quality_summary": _quality_summary,
         "constraint_audit": _constraint_audit,
         "not_null_check": _not_null_check,

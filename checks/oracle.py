@@ -24,11 +24,11 @@ def _instant(column: str) -> str:
     )
 
 
-def _int(column: str, default: int) -> str:
+def _int(column: str, default: int, kind: str = "INTEGER") -> str:
     text = _clean(column)
     return (
         f"coalesce(CASE WHEN regexp_matches({text}, '{NUMBER}') "
-        f"THEN try_cast(trunc(try_cast({text} AS DOUBLE)) AS INTEGER) END, {default})"
+        f"THEN try_cast(trunc(try_cast({text} AS DOUBLE)) AS {kind}) END, CAST({default} AS {kind}))"
     )
 
 
@@ -100,8 +100,7 @@ src AS (
       WHEN o_orderpriority = '3-MEDIUM' THEN 'medium'
       WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'low' ELSE 'LOW' END AS priority,
     CASE WHEN k % 107 = 0 THEN 'unknown' WHEN st = 'completed' THEN ' Completed ' ELSE st END AS status,
-    CASE k % 5 WHEN 0 THEN 'intake' WHEN 1 THEN 'review' WHEN 2 THEN 'approval'
-      WHEN 3 THEN 'exceptions' ELSE 'fulfillment' END AS queue_name,
+    lower(n_name) || ' desk' AS queue_name,
     strftime(created, '%Y-%m-%dT%H:%M:%SZ') AS created_at,
     CASE WHEN k % 113 = 0 THEN 'not-a-timestamp'
       ELSE strftime(started, '%Y-%m-%dT%H:%M:%SZ') END AS started_at,
@@ -111,8 +110,7 @@ src AS (
     CASE st WHEN 'queued' THEN 'Y' WHEN 'in_progress' THEN 'true' ELSE '0' END AS backlog_flag,
     CASE WHEN flagged THEN 'true' ELSE 'no' END AS exception_flag,
     CASE WHEN flagged THEN 'validation_error' ELSE '' END AS exception_type,
-    CASE (k // 5) % 5 WHEN 0 THEN 'salesforce' WHEN 1 THEN 'zendesk' WHEN 2 THEN 'netsuite'
-      WHEN 3 THEN 'workday' ELSE 'internal_ops' END AS source_system,
+    'orders ' || lower(r_name) AS source_system,
     CASE WHEN k % 139 = 0 THEN 'abc' ELSE CAST(n_lines AS VARCHAR) END AS records_touched,
     CAST(errs AS VARCHAR) AS error_count,
     '{"records_touched": ' || n_lines || ', "error_count": ' || errs || '}' AS payload,
@@ -124,7 +122,7 @@ _NORMALISED = f"""
 norm AS (
   SELECT
     {_clean('source_file_name')} AS source_file_name,
-    {_int('source_row_number', -1)} AS source_row_number,
+    {_int('source_row_number', -1, 'BIGINT')} AS source_row_number,
     {_clean('workflow_id')} AS workflow_id,
     {_clean('workflow_type')} AS workflow_type,
     {_clean('team_name')} AS team_name,
@@ -246,6 +244,12 @@ priorities(priority, priority_key) AS (VALUES ('low', 1), ('medium', 2), ('high'
 statuses AS (SELECT status, row_number() OVER (ORDER BY status) AS status_key
              FROM (SELECT DISTINCT status FROM staged))"""
 
+NORMALISED_COLUMNS = (
+    "source_file_name source_row_number workflow_id workflow_type team_name assignee_id priority status "
+    "queue_name created_at started_at completed_at due_at backlog_flag exception_flag exception_type "
+    "source_system records_touched error_count payload"
+).split()
+
 _STEPS = (_SOURCE, _NORMALISED, _CHECKED, _TIMED, _STAGED, _DAILY, _MEMBERS)
 SOURCE, NORMALISED, CHECKED, TIMED, STAGED, DAILY, MEMBERS = range(1, 8)
 
@@ -348,6 +352,46 @@ surviving AS (
 )"""
 
 
+# What each stored table must hold, as relation -> (rows, required columns found in them). Generated
+# columns (keys and load times) are not in these rows and are checked by the load itself.
+_AUDITED = {
+    "workflow_events_raw": "SELECT * FROM valid",
+    "workflow_events_clean": "SELECT * FROM staged",
+    "fact_workflow_run": "SELECT * FROM staged",
+    "fact_exception": "SELECT *, status AS status_name FROM staged WHERE exception_flag",
+    "fact_backlog_daily": "SELECT * FROM backlog",
+    "kpi_daily_summary": "SELECT * FROM kpi",
+}
+
+
+def _audit() -> str:
+    """Every declared constraint with its violations: nulls are counted, keys cannot break by construction."""
+    from flowledger.tables import ALL_TABLES
+
+    present = {
+        "workflow_events_raw": set(NORMALISED_COLUMNS),
+        "workflow_events_clean": {"workflow_id", "team_name", "priority", "status", "sla_breached"},
+        "fact_workflow_run": {"workflow_id", "date_key", "queue_name", "source_system", "created_at"},
+        "fact_exception": {"workflow_id", "date_key", "exception_type", "status_name"},
+        "fact_backlog_daily": {"date_key", "open_workflow_count", "overdue_workflow_count"},
+        "kpi_daily_summary": {"date_key", "total_workflows"},
+    }
+    parts = []
+    for name, table in ALL_TABLES.items():
+        checks = [("not_null", c) for c in table.required]
+        checks += [("unique", ",".join(key)) for key in table.unique]
+        checks += [("foreign_key", c) for c in table.references]
+        for kind, column in checks:
+            found = "0"
+            if kind == "not_null" and column in present.get(name, ()):
+                found = f"(SELECT count(*) FROM ({_AUDITED[name]}) WHERE {column} IS NULL)"
+            parts.append(
+                f"SELECT '{name}' AS table_name, '{kind}' AS constraint_type, '{column}' AS constraint_name, "
+                f"CAST({found} AS BIGINT) AS violations"
+            )
+    return chain(MEMBERS, "\nUNION ALL ".join(parts))
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["source_profile"] = chain(
@@ -370,9 +414,13 @@ def oracle_sql() -> dict[str, str]:
     )
     q["timestamp_parse"] = chain(
         NORMALISED,
-        f"""SELECT source_file_name, source_row_number, t_started AS started_text,
-            {_ts('started_at')} AS started_at, t_started <> '' AND started_at IS NULL AS unparsed
-            FROM norm""",
+        "SELECT source_file_name, source_row_number, "
+        + ", ".join(
+            f"t_{short} AS {short}_at_text, {_ts(f'{short}_at')} AS {short}_at, "
+            f"t_{short} <> '' AND {short}_at IS NULL AS {short}_at_unparsed"
+            for short in ("created", "started", "completed", "due")
+        )
+        + " FROM norm",
     )
     q["validation_errors"] = chain(
         CHECKED,
@@ -446,8 +494,9 @@ def oracle_sql() -> dict[str, str]:
     )
     q["dim_priority"] = chain(
         MEMBERS,
-        """SELECT priority_key, priority AS priority_name, priority_key AS priority_rank
-           FROM priorities""",
+        """SELECT priority_key, priority AS priority_name, priority_key AS priority_rank,
+           (SELECT count(*) FROM staged s WHERE s.priority = p.priority) AS n_runs
+           FROM priorities p""",
     )
     q["dim_status"] = chain(
         MEMBERS,
@@ -605,6 +654,21 @@ def oracle_sql() -> dict[str, str]:
            UNION ALL SELECT 'fact_backlog_daily', count(*) FROM backlog
            UNION ALL SELECT 'kpi_daily_summary', count(*) FROM kpi""",
     )
+    q["row_account"] = chain(
+        TIMED,
+        """SELECT 'source_rows' AS part, count(*) AS n FROM checked
+           UNION ALL SELECT 'raw_new', count(DISTINCT (source_file_name, source_row_number)) FROM valid
+           UNION ALL SELECT 'raw_known', 0
+           UNION ALL SELECT 'raw_repeats',
+             count(*) - count(DISTINCT (source_file_name, source_row_number)) FROM valid
+           UNION ALL SELECT 'rejected', count(DISTINCT (source_file_name, source_row_number)) FROM rejected
+           UNION ALL SELECT 'reject_repeats',
+             count(*) - count(DISTINCT (source_file_name, source_row_number)) FROM rejected
+           UNION ALL SELECT 'staged', count(DISTINCT workflow_id) FROM valid
+           UNION ALL SELECT 'older_versions', count(*) - count(DISTINCT workflow_id) FROM valid
+           UNION ALL SELECT 'taken_rows', 0""",
+    )
+    q["constraint_audit"] = _audit()
     q["quality_summary"] = chain(
         DAILY,
         """SELECT 'workflow_events_raw' AS table_name, count(*) AS row_count FROM valid
@@ -617,11 +681,10 @@ def oracle_sql() -> dict[str, str]:
     # constraint checks on the source rows, where they find something
     q["not_null_check"] = chain(
         CHECKED,
-        """SELECT 'assignee_id' AS column_name, count(*) FILTER (WHERE assignee_id IS NULL) AS violations
-             FROM checked
-           UNION ALL SELECT 'started_at', count(*) FILTER (WHERE started_at IS NULL) FROM checked
-           UNION ALL SELECT 'completed_at', count(*) FILTER (WHERE completed_at IS NULL) FROM checked
-           UNION ALL SELECT 'workflow_id', count(*) FILTER (WHERE workflow_id IS NULL) FROM checked""",
+        "\nUNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM checked"
+            for c in NORMALISED_COLUMNS
+        ),
     )
     q["unique_check"] = chain(
         CHECKED,

@@ -78,6 +78,7 @@ DECIMAL_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 # --- fixed values: labels ---------------------------------------------------------
 VALID = "valid"
 QUARANTINED = "quarantined"
+SOURCE_ROW_TAKEN = "source_row_taken"  # another workflow holds the same file and row number
 OVERDUE = "overdue_workflow"
 MISSING_ASSIGNEE = "missing_assignee"
 INVALID_LIFECYCLE = "invalid_lifecycle_pattern"

@@ -19,10 +19,10 @@ def to_flag(text: Column) -> Column:
     return F.lower(text).isin(*TRUE_TOKENS)
 
 
-def to_int(text: Column, default: int) -> Column:
+def to_int(text: Column, default: int, dtype: str = "int") -> Column:
     """Number truncated toward zero; `default` where the text is no number or out of range."""
-    number = F.when(text.rlike(DECIMAL_NUMBER), text.try_cast("double"))
-    return F.coalesce(number.try_cast("int"), F.lit(default))
+    number = F.coalesce(text.try_cast(dtype), text.try_cast("double").try_cast(dtype))
+    return F.coalesce(F.when(text.rlike(DECIMAL_NUMBER), number), F.lit(default).cast(dtype))
 
 
 def parse_instant(text: Column) -> Column:

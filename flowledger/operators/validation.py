@@ -75,7 +75,7 @@ def normalise_source(df: DataFrame) -> DataFrame:
     )
     parsed = cleaned.withColumns(
         {
-            "source_row_number": to_int(F.col("source_row_number"), -1),
+            "source_row_number": to_int(F.col("source_row_number"), -1, "bigint"),
             "assignee_id": F.nullif(F.col("assignee_id"), F.lit("")),
             "priority": F.lower("priority"),
             "status": F.lower("status"),

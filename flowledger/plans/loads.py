@@ -8,6 +8,7 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from flowledger.constants import QUARANTINED, SOURCE_ROW_TAKEN
 from flowledger.functions.timing import calendar_date, date_key, stored_hours
 from flowledger.operators.constraints import (
     invalid_json,
@@ -84,7 +85,9 @@ def check_staging(valid: DataFrame, as_of) -> None:
 # --- raw and quarantine -----------------------------------------------------------------
 
 
-def load_quarantine(store: Warehouse, invalid: DataFrame, diagnostics: str) -> None:
+def load_quarantine(
+    store: Warehouse, invalid: DataFrame, diagnostics: str, csv_name: str = "workflow_events_quarantine"
+) -> None:
     """Insert rejected rows, replacing earlier rejects of the same source row.
 
     Without a quarantine table the rows go to a CSV folder, so that they are not lost.
@@ -92,7 +95,7 @@ def load_quarantine(store: Warehouse, invalid: DataFrame, diagnostics: str) -> N
     if invalid.isEmpty():
         return
     if not store.table_exists(QUARANTINE):
-        write_quarantine_csv(invalid, f"{diagnostics}/workflow_events_quarantine.csv")
+        write_quarantine_csv(invalid, f"{diagnostics}/{csv_name}.csv")
         return
     latest = quarantine_records(last_per_key(invalid, SOURCE_KEY))
     batch = QUARANTINE.conform(latest.withColumnRenamed(EVENT_NUMBER, QUARANTINE.surrogate))
@@ -132,12 +135,24 @@ def batch_raw_keys(store: Warehouse, valid: DataFrame) -> DataFrame:
     return stored.join(valid.select(*SOURCE_KEY), list(SOURCE_KEY), "left_semi")
 
 
-def with_raw_keys(valid: DataFrame, raw_keys: DataFrame) -> DataFrame:
-    """Valid rows with the raw_event_id of their source row; the first of several copies is kept.
+def with_raw_keys(latest: DataFrame, raw_keys: DataFrame) -> DataFrame:
+    """The latest version of each workflow with the raw_event_id of its source row.
 
-    The deduplication leaves the rows partitioned by (file, row), the way the join needs them.
+    Where different workflows claim one source row, the first keeps it; see `taken_rows`.
     """
-    return first_per_key(valid, SOURCE_KEY).join(raw_keys, list(SOURCE_KEY))
+    return first_per_key(latest, SOURCE_KEY).join(raw_keys, list(SOURCE_KEY))
+
+
+def taken_rows(valid: DataFrame, latest: DataFrame) -> DataFrame:
+    """Valid rows whose source row went to another workflow, as rejects with a code of their own."""
+    kept = first_per_key(latest, SOURCE_KEY).select(EVENT_NUMBER)
+    lost = latest.select(EVENT_NUMBER).join(kept, EVENT_NUMBER, "left_anti")
+    return valid.join(lost, EVENT_NUMBER, "left_semi").withColumns(
+        {
+            "validation_errors": F.array(F.lit(SOURCE_ROW_TAKEN)),
+            "validation_status": F.lit(QUARANTINED),
+        }
+    )
 
 
 # --- staging --------------------------------------------------------------------------------

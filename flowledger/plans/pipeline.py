@@ -11,11 +11,12 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowledger.operators.keyed import EVENT_NUMBER
+from flowledger.operators.keyed import EVENT_NUMBER, first_per_key
 from flowledger.operators.numbering import stage, with_place, with_row_number
 from flowledger.operators.staging import prepare_staging
 from flowledger.operators.validation import Validated, summarise_validation, validate
 from flowledger.plans.loads import (
+    SOURCE_KEY,
     batch_raw_keys,
     check_batch,
     check_staging,
@@ -23,6 +24,7 @@ from flowledger.plans.loads import (
     load_raw,
     load_staging,
     load_warehouse,
+    taken_rows,
     with_raw_keys,
 )
 from flowledger.session import configure, scratch_path
@@ -60,7 +62,9 @@ def dry_run_counts(
     checked = validate(read_workflow_csv(spark, input_path)).staged()
     return {
         "validation_summary": checked.summary.first().asDict(),
-        "staging_rows": prepare_staging(checked.valid, _fixed(as_of)).count(),
+        "staging_rows": first_per_key(
+            prepare_staging(checked.valid, _fixed(as_of)), SOURCE_KEY
+        ).count(),
         "warehouse_load_counts": {},
     }
 
@@ -103,10 +107,42 @@ def refresh_rows(
     return {
         "validation_summary": {c: summary[c] for c in _SUMMARY},
         "staging_rows": staging.count(),
+        "row_account": row_account(store.spark, checked, run_dir),
         "warehouse_load_counts": {r.table_name: r.loaded_rows for r in counts.collect()},
     }
 
 
+def row_account(spark: SparkSession, checked: Validated, run_dir: str) -> dict[str, int]:
+    """Where every source row of a run went.
+
+    The parts from `raw_new` to `reject_repeats` add up to `source_rows`; `staged`, `older_versions` and
+    `taken_rows` add up to the valid rows, that is to the three raw parts.
+    """
+
+    def count(name: str) -> int:
+        return spark.read.parquet(f"{run_dir}/{name}").count()
+
+    start = spark.read.parquet(f"{run_dir}/first_event_no").first()[0]
+    raw_keys = spark.read.parquet(f"{run_dir}/raw_keys")
+    known, stored = raw_keys.agg(
+        F.count_if(F.col("raw_event_id") <= start), F.count(F.lit(1))
+    ).first()
+    valid, invalid = checked.valid.count(), checked.invalid.count()
+    rejected = checked.invalid.select(*SOURCE_KEY).distinct().count()
+    latest, staged = count("latest"), count("staging")
+    return {
+        "source_rows": valid + invalid,
+        "raw_new": stored - known,
+        "raw_known": known,
+        "raw_repeats": valid - stored,
+        "rejected": rejected,
+        "reject_repeats": invalid - rejected,
+        "staged": staged,
+        "older_versions": valid - latest,
+        "taken_rows": latest - staged,
+    }
+
+
 _SUMMARY = ("input_rows", "valid_rows", "invalid_rows", "quarantined_rows")
 
 
@@ -137,10 +173,13 @@ def load_and_stage(
         moment = _fixed(as_of)
         check_batch(checked.valid)
         check_staging(checked.valid, moment)
+        latest = _kept(spark, f"{run_dir}/latest", lambda: prepare_staging(checked.valid, moment))
         load_quarantine(store, checked.invalid, f"{run_dir}/diagnostics")
+        taken = taken_rows(checked.valid, latest)
+        load_quarantine(store, taken, f"{run_dir}/diagnostics", "workflow_events_taken_rows")
         load_raw(store, checked.valid)
         raw_keys = _kept(spark, f"{run_dir}/raw_keys", lambda: batch_raw_keys(store, checked.valid))
-        stage(prepare_staging(with_raw_keys(checked.valid, raw_keys), moment), path)
+        stage(with_raw_keys(latest, raw_keys), path)
     staging = spark.read.parquet(path)
     if staging.isEmpty():
         raise RuntimeError("No raw keys were resolved for staging rows")

@@ -10,14 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from flowledger.constants import DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE
 from flowledger.operators.keyed import pick_one
-from flowledger.operators.numbering import number_rows
 
 Tables = Mapping[str, DataFrame]
 Day = date | str | None
 
-# Beyond this many leading rows a page is cut from numbered rows: a top-k would gather them in one task.
-TOP_K_ROWS = 100_000
-
 MEASURES = (
     "total_workflows",
     "completed_workflows",
@@ -49,7 +45,7 @@ class Page:
     rows: DataFrame
     total: DataFrame  # one row, one column: total
     page: int
-    page_size: int
+    page_size: int  # as used
 
     def meta(self) -> dict[str, int]:
         return {
@@ -60,16 +56,53 @@ class Page:
         }
 
 
-def paginate(df: DataFrame, order: Sequence[Column], page: int, page_size: int) -> Page:
-    """One page in a total order, and the row count over the same filtered rows."""
+@dataclass(frozen=True)
+class SortKey:
+    """One column of a total order. Nulls come last, in a descending order first."""
+
+    name: str
+    descending: bool = False
+
+    def column(self) -> Column:
+        key = F.col(self.name)
+        return key.desc_nulls_first() if self.descending else key.asc_nulls_last()
+
+    def equal(self, value) -> Column:
+        return F.col(self.name).eqNullSafe(F.lit(value))
+
+    def behind(self, value) -> Column:
+        """Whether a row sorts behind the value."""
+        key = F.col(self.name)
+        if self.descending:
+            return key.isNotNull() if value is None else key < F.lit(value)
+        return F.lit(False) if value is None else key.isNull() | (key > F.lit(value))
+
+
+def _behind(order: Sequence[SortKey], last: Mapping) -> Column:
+    """Whether a row sorts behind the given one: behind it in one key, equal in all keys before."""
+    found, equal = F.lit(False), F.lit(True)
+    for key in order:
+        value = last[key.name]
+        found, equal = found | (equal & key.behind(value)), equal & key.equal(value)
+    return F.coalesce(found, F.lit(False))
+
+
+def paginate(
+    df: DataFrame,
+    order: Sequence[SortKey],
+    page: int = 1,
+    page_size: int = DEFAULT_PAGE_SIZE,
+    after: Mapping | None = None,
+) -> Page:
+    """One page in a total order, and the row count over the same filtered rows.
+
+    A page is a top-k over all rows up to its end. To go on at any depth for the price of one page, pass
+    the last row of the page before as `after` and leave `page` at 1.
+    """
     limit, offset = page_bounds(page, page_size)
-    if offset + limit <= TOP_K_ROWS:
-        rows = df.orderBy(*order).offset(offset).limit(limit)
-    else:
-        numbered = number_rows(df.orderBy(*order), "_n")
-        wanted = numbered.where(F.col("_n").between(offset + 1, offset + limit))
-        rows = wanted.orderBy("_n").drop("_n")
-    return Page(rows, df.agg(F.count("*").alias("total")), page, page_size)
+    rows = df if after is None else df.where(_behind(order, after))
+    rows = rows.orderBy(*[key.column() for key in order]).offset(offset).limit(limit)
+    return Page(rows, df.agg(F.count("*").alias("total")), max(page, 1), limit)
 
 
 # --- filters -------------------------------------------------------------------------------------
@@ -225,13 +258,8 @@ def kpi_summary(
     )
 
 
-def _daily_order() -> list[Column]:
-    """Newest day first; a missing team or type sorts last."""
-    return [
-        F.col("calendar_date").desc_nulls_first(),
-        F.col("team_name").asc_nulls_last(),
-        F.col("workflow_type").asc_nulls_last(),
-    ]
+# Newest day first; a missing team or type sorts last.
+_DAILY_ORDER = (SortKey("calendar_date", True), SortKey("team_name"), SortKey("workflow_type"))
 
 
 def kpi_daily(
@@ -242,11 +270,12 @@ def kpi_daily(
     workflow_type: str | None = None,
     page: int = 1,
     page_size: int = DEFAULT_PAGE_SIZE,
+    after: Mapping | None = None,
 ) -> Page:
     rows = _equal(
         team_performance_daily(tables, start, end), team_name=team, workflow_type=workflow_type
     )
-    return paginate(rows, _daily_order(), page, page_size)
+    return paginate(rows, _DAILY_ORDER, page, page_size, after)
 
 
 def team_performance(
@@ -256,8 +285,20 @@ def team_performance(
     team: str | None = None,
     page: int = 1,
     page_size: int = DEFAULT_PAGE_SIZE,
+    after: Mapping | None = None,
 ) -> Page:
-    return kpi_daily(tables, start, end, team, None, page, page_size)
+    return kpi_daily(tables, start, end, team, None, page, page_size, after)
+
+
+_EXCEPTION_ORDER = (
+    SortKey("detected_date", True),
+    SortKey("workflow_id"),
+    *map(
+        SortKey,
+        ("team_name", "workflow_type", "priority_name", "exception_type", "status_name", "error_count"),
+    ),
+    SortKey("open_flag"),
+)
 
 
 def exceptions(
@@ -270,6 +311,7 @@ def exceptions(
     workflow_id: str | None = None,
     page: int = 1,
     page_size: int = DEFAULT_PAGE_SIZE,
+    after: Mapping | None = None,
 ) -> Page:
     rows = _equal(
         open_exceptions(tables, start, end),
@@ -278,19 +320,16 @@ def exceptions(
         status_name=status,
         workflow_id=workflow_id,
     )
-    rest = [c for c in rows.columns if c not in ("detected_date", "workflow_id")]
-    order = [
-        F.col("detected_date").desc_nulls_first(),
-        F.col("workflow_id").asc_nulls_last(),
-        *[F.col(c).asc_nulls_last() for c in rest],
-    ]
-    return paginate(rows, order, page, page_size)
+    return paginate(rows, _EXCEPTION_ORDER, page, page_size, after)
 
 
 def workflow_exceptions(tables: Tables, workflow_id: str) -> DataFrame:
-    """Open exceptions of one workflow; raises NotFound if it has none."""
-    rows = exceptions(tables, workflow_id=workflow_id, page_size=MAX_PAGE_SIZE).rows
-    return _found(rows, f"No exceptions found for workflow_id={workflow_id}")
+    """All open exceptions of one workflow; raises NotFound if it has none."""
+    rows = _equal(open_exceptions(tables), workflow_id=workflow_id)
+    return _found(
+        rows.orderBy(*[key.column() for key in _EXCEPTION_ORDER]),
+        f"{workflow_id} has no open exceptions",
+    )
 
 
 def backlog(
@@ -301,9 +340,10 @@ def backlog(
     priority: str | None = None,
     page: int = 1,
     page_size: int = DEFAULT_PAGE_SIZE,
+    after: Mapping | None = None,
 ) -> Page:
     rows = _equal(backlog_star(tables, start, end), team_name=team, priority_name=priority)
-    return paginate(rows, [*_daily_order(), F.col("priority_name").asc()], page, page_size)
+    return paginate(rows, [*_DAILY_ORDER, SortKey("priority_name")], page, page_size, after)
 
 
 def workflow_detail(tables: Tables, workflow_id: str) -> DataFrame:
@@ -314,7 +354,7 @@ def workflow_detail(tables: Tables, workflow_id: str) -> DataFrame:
         .limit(1)
         .drop("workflow_run_key")
     )
-    return _found(latest, f"Workflow {workflow_id} was not found")
+    return _found(latest, f"{workflow_id} has no run")
 
 
 def latest_runs(tables: Tables) -> DataFrame:

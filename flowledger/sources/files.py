@@ -30,3 +30,13 @@ def make_folder(spark: SparkSession, path: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _resolve(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def input_root(spark: SparkSession, path: str) -> str:
+    """The folder below which a path or glob pattern names its files, as a URI that ends in a slash."""
+    cut = min((path.index(c) for c in "*?[{" if c in path), default=len(path))
+    folder = path[:cut] if cut == len(path) else path[:cut].rpartition("/")[0] or "."
+    fs, hadoop_path = _resolve(spark, folder)
+    if fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isFile():
+        hadoop_path = hadoop_path.getParent()
+    return fs.makeQualified(hadoop_path).toUri().toString().rstrip("/") + "/"

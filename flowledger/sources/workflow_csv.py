@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowledger.functions.text import drop_missing_tokens
 from flowledger.operators.keyed import INPUT_POSITION
 from flowledger.operators.numbering import number_within_files
-from flowledger.sources.files import exists
+from flowledger.sources.files import exists, input_root
 
 
 def ensure_input_exists(spark: SparkSession, path: str) -> str:
@@ -37,8 +39,15 @@ def read_workflow_csv(spark: SparkSession, path: str, multi_line: bool = False)
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
     )
+    # below the input root, so that files of one name in different folders stay apart; Spark writes
+    # file:/ and file:/// for the same place
+    root = re.sub(r"^([a-z0-9]+:)/+", r"\1/", input_root(spark, path))
+    file = F.regexp_replace(F.col("_metadata.file_path"), "^([a-z0-9]+:)/+", "$1/")
+    name = F.when(file.startswith(root), F.substring(file, len(root) + 1, 1 << 20))
     rows = scan.select(
-        *cells, position.alias(INPUT_POSITION), F.col("_metadata.file_name").alias("_file_name")
+        *cells,
+        position.alias(INPUT_POSITION),
+        F.url_decode(F.replace(F.coalesce(name, file), F.lit("+"), F.lit("%2B"))).alias("_file_name"),
     )
     return _fill_lineage(rows)
 

@@ -80,7 +80,7 @@ RAW = Table(
     {
         "raw_event_id": "bigint!",
         "source_file_name": "string!",
-        "source_row_number": "int!",
+        "source_row_number": "bigint!",
         **_SOURCE_BODY,
         "backlog_flag": "boolean!",
         "exception_flag": "boolean!",
@@ -105,7 +105,7 @@ QUARANTINE = Table(
     {
         "quarantine_id": "bigint!",
         "source_file_name": "string!",
-        "source_row_number": "int",
+        "source_row_number": "bigint",
         "workflow_id": "string",
         "validation_errors": "array<string>!",
         "raw_payload": "string!",

@@ -72,26 +72,45 @@ def test_summary_is_a_plain_mean_of_daily_figures(tables):
     assert tuple(row) == (0, 0, 0, 0, 0, 0.0, 0.0, 0.0, 0.0)
 
 
-def test_pages_join_up_to_the_whole_also_far_out(tables, monkeypatch):
-    whole = [
-        (r.detected_date, r.workflow_id, r.error_count)
-        for r in reports.exceptions(tables, page_size=500).rows.collect()
-    ]
+def test_pages_and_cursors_join_up_to_the_whole(tables):
+    def keys(page):
+        return [(r.detected_date, r.workflow_id, r.error_count) for r in page.rows.collect()]
+
+    whole = keys(reports.exceptions(tables, page_size=500))
     assert len(whole) == 400
     assert whole == sorted(whole, key=lambda r: (-r[0].toordinal(), r[1], r[2]))
-    monkeypatch.setattr(reports, "TOP_K_ROWS", 150)  # pages 3 and 4 take the numbered way
-    paged = []
-    for page in (1, 2, 3, 4, 5):
-        rows = reports.exceptions(tables, page=page, page_size=100).rows.collect()
-        paged += [(r.detected_date, r.workflow_id, r.error_count) for r in rows]
+    paged = [k for n in (1, 2, 3, 4, 5) for k in keys(reports.exceptions(tables, page=n, page_size=100))]
     assert paged == whole
+    walked, last = [], None
+    while True:
+        page = reports.exceptions(tables, page_size=150, after=last)
+        rows = page.rows.collect()
+        if not rows:
+            break
+        walked += [(r.detected_date, r.workflow_id, r.error_count) for r in rows]
+        last = rows[-1].asDict()
+    assert walked == whole
+
+
+def test_a_cursor_passes_nulls(tables):
+    order = [(r.calendar_date, r.team_name) for r in reports.kpi_daily(tables).rows.collect()]
+    walked, last = [], None
+    while rows := reports.kpi_daily(tables, page_size=1, after=last).rows.collect():
+        walked.append((rows[0].calendar_date, rows[0].team_name))
+        last = rows[0].asDict()
+    assert walked == order
+
+
+def test_the_page_size_in_use_is_reported(tables):
+    meta = reports.exceptions(tables, page_size=1000).meta()
+    assert meta == {"page": 1, "page_size": 500, "returned": 400, "total": 400}
 
 
 def test_filters_and_not_found(tables):
     assert reports.exceptions(tables, end="2025-01-01", status="queued").total.first()[0] == 200
     assert reports.exceptions(tables, priority="high").total.first()[0] == 0
     assert reports.workflow_exceptions(tables, "W001").count() == 2
-    with pytest.raises(reports.NotFound, match="No exceptions found for workflow_id=W999"):
+    with pytest.raises(reports.NotFound, match="W999"):
         reports.workflow_exceptions(tables, "W999")
 
 

@@ -19,31 +19,31 @@ def staged(spark, *rows, as_of=AS_OF):
 
 def test_spans(spark):
     row = staged(spark, event()).first()
-    assert (row.turnaround_hours, row.age_hours) == (4.0, 4.0)
-    assert row.processing_minutes == Decimal("240.00")
+    assert (row.turnaround_hours, row.age_hours) == (3.5, 3.5)
+    assert row.processing_minutes == Decimal("210.00")
 
 
 def test_open_workflow_ages_until_as_of_and_never_below_zero(spark):
     row = staged(spark, event(status="queued", completed_at="", started_at="")).first()
-    assert (row.turnaround_hours, row.age_hours) == (0.0, 16.0)
-    early = staged(spark, event(status="queued", completed_at=""), as_of="2024-01-01T00:00:00Z")
+    assert (row.turnaround_hours, row.age_hours) == (0.0, 18.0)
+    early = staged(spark, event(status="queued", completed_at=""), as_of="2030-01-01T00:00:00Z")
     assert early.first().age_hours == 0.0
 
 
 def test_latest_version_wins_and_ties_keep_the_first(spark):
     rows = [
         event(queue_name="old"),
-        event(queue_name="new", completed_at="2025-01-01T13:00:00Z"),
-        event(queue_name="tie", completed_at="2025-01-01T13:00:00Z"),
-        event(workflow_id="WF-2", queue_name="other"),
+        event(queue_name="new", completed_at="2031-03-10T10:30:00Z"),
+        event(queue_name="tie", completed_at="2031-03-10T10:30:00Z"),
+        event(workflow_id="REQ-2", queue_name="other"),
     ]
     kept = {r.workflow_id: r.queue_name for r in staged(spark, *rows).collect()}
-    assert kept == {"WF-1": "new", "WF-2": "other"}
+    assert kept == {"REQ-1": "new", "REQ-2": "other"}
 
 
 def test_a_row_without_time_never_beats_one_with(spark):
     df = spark.sql(
-        "SELECT * FROM VALUES ('a', NULL, 1), ('a', TIMESTAMP'2025-01-01', 2), ('b', NULL, 3) "
+        "SELECT * FROM VALUES ('a', NULL, 1), ('a', TIMESTAMP'2031-03-10', 2), ('b', NULL, 3) "
         "AS t(workflow_id, updated_at, n)"
     )
     assert sorted(r.n for r in latest_per_workflow(df).collect()) == [2, 3]
@@ -56,37 +56,37 @@ def test_deduplication_needs_updated_at(spark):
 
 def outcomes(spark, cases, *columns):
     """The given columns of one staged row per case."""
-    rows = [event(workflow_id=f"WF-{i:03d}", **changes) for i, changes in enumerate(cases)]
+    rows = [event(workflow_id=f"REQ-{i:03d}", **changes) for i, changes in enumerate(cases)]
     found = staged(spark, *rows).orderBy("workflow_id").select(*columns).collect()
     return [tuple(r) for r in found]
 
 
 def test_sla_breach(spark):
     cases = [
-        ({"due_at": "2025-01-01T11:00:00Z"}, True),
-        ({"due_at": "2025-01-01T12:00:00Z"}, False),
+        ({"due_at": "2031-03-10T09:00:00Z"}, True),
+        ({"due_at": "2031-03-10T09:30:00Z"}, False),
         ({"due_at": ""}, False),
-        ({"status": "queued", "completed_at": "", "due_at": "2025-01-01T20:00:00Z"}, True),
+        ({"status": "queued", "completed_at": "", "due_at": "2031-03-10T20:00:00Z"}, True),
     ]
     assert outcomes(spark, [c for c, _ in cases], "sla_breached") == [(b,) for _, b in cases]
 
 
 def test_exception_rules(spark):
-    late = {"due_at": "2025-01-01T10:00:00Z"}
+    late = {"due_at": "2031-03-10T08:00:00Z"}
     cases = [
         ({}, (False, None)),
         ({"exception_flag": "t", "exception_type": "sla_breach"}, (True, "sla_breach")),
         ({"exception_type": "noted"}, (False, "noted")),
-        ({"assignee_id": "", "completed_at": "2025-01-02T12:30:00Z"}, (True, "missing_assignee")),
+        ({"assignee_id": "", "completed_at": "2031-03-11T10:30:00Z"}, (True, "missing_assignee")),
         (
             {"status": "queued", "completed_at": "", "assignee_id": "", **late},
             (True, "overdue_workflow"),
         ),
         ({"status": "failed", **late}, (False, None)),
         ({"completed_at": ""}, (True, "invalid_lifecycle_pattern")),
-        ({"started_at": "2025-01-01T07:59:59Z"}, (True, "invalid_lifecycle_pattern")),
-        ({"completed_at": "2025-01-02T08:00:00Z"}, (False, None)),
-        ({"completed_at": "2025-01-02T08:00:00.000001Z"}, (True, "high_processing_time")),
+        ({"started_at": "2031-03-10T05:59:59Z"}, (True, "invalid_lifecycle_pattern")),
+        ({"completed_at": "2031-03-11T06:00:00Z"}, (False, None)),
+        ({"completed_at": "2031-03-11T06:00:00.000001Z"}, (True, "high_processing_time")),
     ]
     found = outcomes(spark, [c for c, _ in cases], "exception_flag", "exception_type")
     assert found == [expected for _, expected in cases]
@@ -119,12 +119,12 @@ def test_exact_rounding(spark):
 def test_kpi_counts_only_the_source_backlog_flag(spark):
     rows = [
         event(),
-        event(workflow_id="WF-2", status="in_progress", completed_at="", assignee_id="", backlog_flag="n"),
+        event(workflow_id="REQ-2", status="in_progress", completed_at="", assignee_id="", backlog_flag="n"),
     ]
     frame = staged(spark, *rows)
     kpi = build_kpi_daily(frame).first()
     assert (kpi.total_workflows, kpi.completed_workflows, kpi.backlog_workflows) == (2, 1, 0)
-    assert (kpi.throughput_per_assignee, kpi.data_quality_score) == (Decimal("2.00"), Decimal("92.50"))
+    assert (kpi.throughput_per_assignee, kpi.data_quality_score) == (Decimal("2.00"), Decimal("72.50"))
     backlog = build_backlog_daily(frame).collect()
     assert [(r.open_workflow_count, r.overdue_workflow_count) for r in backlog] == [(1, 0)]
 

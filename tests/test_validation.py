@@ -27,13 +27,13 @@ def test_split_summary_and_error_order(spark):
         events(
             spark,
             event(),
-            event(workflow_id="WF-2", status="unknown"),
+            event(workflow_id="REQ-2", status="parked"),
             event(
                 workflow_id="  ",
-                completed_at="2024-12-31T12:00:00Z",
-                due_at="2024-12-30T08:00:00Z",
-                started_at="not-a-timestamp",
-                priority="urgent",
+                completed_at="2031-03-01T12:00:00Z",
+                due_at="2031-02-28T08:00:00Z",
+                started_at="half past six",
+                priority="soonest",
             ),
         )
     ).staged()
@@ -44,7 +44,7 @@ def test_split_summary_and_error_order(spark):
         "quarantined_rows": 2,
     }
     valid = checked.valid.first()
-    assert (valid.status, valid.priority, valid.validation_errors) == ("completed", "high", [])
+    assert (valid.status, valid.priority, valid.validation_errors) == ("completed", "medium", [])
     errors = [r.validation_errors for r in checked.invalid.orderBy("source_row_number").collect()]
     assert errors == [
         ["invalid_status"],
@@ -63,7 +63,7 @@ def test_text_and_flags(spark):
         events(
             spark,
             event(
-                workflow_id="\t WF-9 \n",
+                workflow_id="\t REQ-9 \n",
                 team_name=None,
                 assignee_id=" \r\n",
                 exception_type=" ",
@@ -73,7 +73,7 @@ def test_text_and_flags(spark):
             ),
         )
     ).first()
-    assert (row.workflow_id, row.team_name, row.assignee_id) == ("WF-9", "", None)
+    assert (row.workflow_id, row.team_name, row.assignee_id) == ("REQ-9", "", None)
     assert (row.exception_type, row.backlog_flag, row.exception_flag) == (None, True, False)
     assert row.queue_name == "a b"
 
@@ -83,26 +83,28 @@ def in_order(df):
 
 
 def one_per(cases):
-    return [event(workflow_id=f"WF-{i:03d}", **cells) for i, cells in enumerate(cases)]
+    return [event(workflow_id=f"REQ-{i:03d}", **cells) for i, cells in enumerate(cases)]
 
 
 def test_integers_truncate_or_default(spark):
     expected = {
         "12": 12, " 1.9 ": 1, "-1.9": -1, "1e3": 1000, "abc": 0, "": 0, None: 0, "nan": 0, "1e20": 0, "1d": 0,
+        "3000000000": 0,
     }
     cases = [{"records_touched": text, "source_row_number": text} for text in expected]
     rows = in_order(normalise_source(events(spark, *one_per(cases))))
     assert [r.records_touched for r in rows] == list(expected.values())
-    assert [r.source_row_number for r in rows] == [n if n else -1 for n in expected.values()]
+    numbers = [n if n else -1 for n in expected.values()]
+    assert [r.source_row_number for r in rows] == [*numbers[:-1], 3_000_000_000]
 
 
 def test_timestamps_parse_one_by_one(spark):
     expected = {
-        "2025-01-01T08:00:00Z": dt.datetime(2025, 1, 1, 8),
-        "2025-01-01T08:00:00+00:00": dt.datetime(2025, 1, 1, 8),
-        "2025-01-01T08:00:00.5-02:30": dt.datetime(2025, 1, 1, 10, 30, 0, 500000),
-        "2025-01-01 08:00": dt.datetime(2025, 1, 1, 8),
-        " 2025-01-01 ": dt.datetime(2025, 1, 1),
+        "2031-03-10T08:00:00Z": dt.datetime(2031, 3, 10, 8),
+        "2031-03-10T08:00:00+00:00": dt.datetime(2031, 3, 10, 8),
+        "2031-03-10T08:00:00.5-02:30": dt.datetime(2031, 3, 10, 10, 30, 0, 500000),
+        "2031-03-10 08:00": dt.datetime(2031, 3, 10, 8),
+        " 2031-03-10 ": dt.datetime(2031, 3, 10),
     }
     df = normalise_source(events(spark, *one_per({"started_at": t} for t in expected)))
     rows = in_order(df.selectExpr("workflow_id", "cast(started_at as timestamp_ntz) t"))
@@ -110,7 +112,7 @@ def test_timestamps_parse_one_by_one(spark):
 
 
 def test_bad_timestamps_are_errors_and_blank_ones_are_not(spark):
-    bad = ["not-a-timestamp", "2025", "T08:00:00", "2025-02-30", "2025-01-01T25:00:00Z", "9999-12-31"]
+    bad = ["half past six", "2031", "T08:00:00", "2031-02-30", "2031-03-10T25:00:00Z", "9999-12-31"]
     blank = ["", "  ", None]
     df = validate(events(spark, *one_per({"started_at": t} for t in [*bad, *blank]))).rows
     rows = in_order(df)
@@ -134,6 +136,6 @@ def test_quarantine_payload_holds_normalised_row_and_extras(spark):
     assert payload["status"] == "queued"
     assert payload["region"] == "north"
     assert payload["started_at"] is None
-    assert payload["created_at"] == "2025-01-01T08:00:00.000Z"
+    assert payload["created_at"] == "2031-03-10T06:00:00.000Z"
     assert payload["validation_status"] == "quarantined"
     assert "validation_errors" not in payload
