@@ -28,7 +28,7 @@ from flowledger.plans.loads import (
     with_raw_keys,
 )
 from flowledger.session import configure, scratch_path
-from flowledger.sources.files import exists
+from flowledger.sources.files import exists, identity, remove
 from flowledger.sources.workflow_csv import ensure_input_exists, read_workflow_csv
 from flowledger.store import Warehouse
 
@@ -48,7 +48,10 @@ def run_pipeline(
     skip_load: bool = False,
     as_of: datetime | str | None = None,
 ) -> dict[str, object]:
-    """Validate, transform and load a delivery; `dry_run` and `skip_load` stop before any write."""
+    """Validate, transform and load a delivery.
+
+    With `dry_run` or `skip_load` nothing reaches the warehouse; the checked rows go to the scratch folder.
+    """
     if dry_run or skip_load:
         return dry_run_counts(store.spark, input_path, as_of)
     run_dir = scratch_path(store.spark, "run")
@@ -76,11 +79,16 @@ def refresh(
     run_id: str,
     as_of: datetime | str | None = None,
 ) -> dict[str, object]:
-    """The daily flow: readiness, extract, validate, load raw, transform and load, quality summary."""
+    """The daily flow: readiness, extract, validate, load raw, transform and load, quality summary.
+
+    A run that was interrupted goes on behind its last stage if input and `as_of` are the same; with
+    another input or moment the run id starts afresh.
+    """
     ensure_input_exists(store.spark, input_path)
     source = read_workflow_csv(store.spark, input_path)
     run_dir = f"{runs_dir.rstrip('/')}/{run_id}"
-    result = refresh_rows(store, source, run_dir, as_of)
+    moment = _opened(store.spark, run_dir, identity(store.spark, input_path), as_of)
+    result = refresh_rows(store, source, run_dir, moment)
     return {
         "input_path": input_path,
         **result,
@@ -88,6 +96,25 @@ def refresh(
     }
 
 
+def _opened(
+    spark: SparkSession, run_dir: str, source_identity: str, as_of: datetime | str | None
+) -> str:
+    """The moment of a run: that of the run to go on with, or of a new one in an emptied folder."""
+    wanted = None if as_of is None else str(as_of)
+    path = f"{run_dir}/run"
+    if _finished(spark, path):
+        run = spark.read.schema("source string, as_of string").json(path).first()
+        if run.source == source_identity and wanted in (None, run.as_of):
+            return run.as_of
+    if exists(spark, run_dir):
+        remove(spark, run_dir)
+    moment = wanted or datetime.now(tz=UTC).isoformat()
+    spark.createDataFrame([(source_identity, moment)], "source string, as_of string").coalesce(
+        1
+    ).write.json(path)
+    return moment
+
+
 def refresh_rows(
     store: Warehouse, source: DataFrame, run_dir: str, as_of: datetime | str | None = None
 ) -> dict[str, object]:

@@ -348,13 +348,12 @@ def backlog(
 
 def workflow_detail(tables: Tables, workflow_id: str) -> DataFrame:
     """The latest known run of a workflow; raises NotFound if there is none."""
-    latest = (
-        workflow_star(tables, workflow_id)
-        .orderBy(F.col("created_at").desc(), F.col("workflow_run_key").desc())
-        .limit(1)
-        .drop("workflow_run_key")
-    )
-    return _found(latest, f"{workflow_id} has no run")
+    newest = [F.col("created_at").desc(), F.col("workflow_run_key").desc()]
+    latest = workflow_star(tables, workflow_id).orderBy(*newest).limit(1).drop("workflow_run_key")
+    found = latest.collect()  # one row, fetched once
+    if not found:
+        raise NotFound(f"{workflow_id} has no run")
+    return latest.sparkSession.createDataFrame(found, latest.schema)
 
 
 def latest_runs(tables: Tables) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
 
@@ -40,3 +42,15 @@ def input_root(spark: SparkSession, path: str) -> str:
     if fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isFile():
         hadoop_path = hadoop_path.getParent()
     return fs.makeQualified(hadoop_path).toUri().toString().rstrip("/") + "/"
+
+
+def identity(spark: SparkSession, path: str) -> str:
+    """A digest of names, sizes and modification times of the files a path or glob pattern stands for."""
+    fs, hadoop_path = _resolve(spark, path)
+    found = []
+    for match in fs.globStatus(hadoop_path) or []:
+        files = fs.listFiles(match.getPath(), True)
+        while files.hasNext():
+            file = files.next()
+            found.append(f"{file.getPath()} {file.getLen()} {file.getModificationTime()}")
+    return hashlib.sha256("\n".join([path, *sorted(found)]).encode()).hexdigest()

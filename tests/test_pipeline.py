@@ -281,3 +281,18 @@ def test_more_than_a_page_of_exceptions_of_one_workflow(spark, store):
     frames["dim_workflow_type"] = spark.sql("SELECT 1 AS workflow_type_key, 'KycRefresh' AS workflow_type")
     frames["dim_priority"] = spark.sql("SELECT 1 AS priority_key, 'low' AS priority_name")
     assert reports.workflow_exceptions(frames, "REQ-1").count() == 620
+
+
+def test_a_run_id_takes_a_corrected_file_and_another_moment(spark, store, tmp_path):
+    runs = str(tmp_path / "runs")
+    path = write_csv(tmp_path / "in.csv", [event(queue_name="first")])
+    refresh(store, path, runs, "day", AS_OF)
+    write_csv(tmp_path / "in.csv", [event(queue_name="second"), event(workflow_id="REQ-2")])
+    result = refresh(store, path, runs, "day", AS_OF)
+    assert result["row_account"]["raw_known"] == result["row_account"]["raw_new"] == 1
+    facts = {r.workflow_id: r.queue_name for r in store["fact_workflow_run"].collect()}
+    assert facts == {"REQ-1": "second", "REQ-2": "vault"}
+    again = refresh(store, path, runs, "day")  # the moment is kept with the run
+    assert again["row_account"] == result["row_account"]
+    refresh(store, path, runs, "day", "2031-03-12T00:00:00Z")
+    assert spark.read.json(f"{runs}/day/run").first().as_of == "2031-03-12T00:00:00Z"
