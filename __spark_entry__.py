@@ -14,7 +14,7 @@ from checks import oracle  # noqa: E402
 from flowledger.constants import SOURCE_COLUMNS, TIMESTAMP_COLUMNS  # noqa: E402
 from flowledger.functions.numeric import ratio_half_up  # noqa: E402
 from flowledger.operators import constraints, dimensions, facts, keyed, staging  # noqa: E402
-from flowledger.operators.numbering import number_rows, stage  # noqa: E402
+from flowledger.operators.numbering import stage  # noqa: E402
 from flowledger.operators.validation import (  # noqa: E402
     normalise_source,
     quarantine_records,
@@ -25,8 +25,9 @@ from flowledger.plans.star import star_of  # noqa: E402
 from flowledger.session import configure, scratch_path  # noqa: E402
 from flowledger.sources import orders  # noqa: E402
 from flowledger.sources.profile import source_profile  # noqa: E402
+from flowledger.sources.workflow_csv import read_workflow_csv  # noqa: E402
 from flowledger.store import Warehouse  # noqa: E402
-from flowledger.tables import ALL_TABLES, DIM_TEAM  # noqa: E402
+from flowledger.tables import ALL_TABLES, DIM_TEAM, QUARANTINE  # noqa: E402
 
 try:  # the corpus operators are a part of their own, which may be left out
     import corpus_pipeline  # noqa: E402
@@ -278,55 +279,115 @@ def _dashboard(tables):
 # --- loads --------------------------------------------------------------------------------------------
 
 
-def _at(df: DataFrame, position: int) -> DataFrame:
-    return df.withColumn(keyed.INPUT_POSITION, F.lit(position))
-
-
-def _is_late():
-    return F.col("source_file_name") == orders.LATE_FILE
+def _warehouse_after_redelivery(spark, sf_dir):
+    """Three runs: the main file, the late file, and the late file again with other cells."""
 
+    def build():
+        store = _empty_warehouse(spark)
+        late = orders.late_delivery(spark, sf_dir)
+        changed = late.withColumns(
+            {
+                "error_count": (F.col("error_count").cast("int") + 1).cast("string"),
+                "queue_name": F.concat("queue_name", F.lit(_AGAIN)),
+            }
+        )
+        for rows in (orders.main_delivery(spark, sf_dir), late, changed):
+            pipeline.refresh_rows(store, rows, scratch_path(spark, "run"), orders.AS_OF)
+        return store
 
-def _more_errors(df: DataFrame, n: int = 1) -> DataFrame:
-    return df.withColumn("error_count", F.col("error_count") + n)
+    return _once(spark, sf_dir, "redelivery", build)
 
 
-def _raw_after_append(spark, sf_dir) -> DataFrame:
-    """The main file is stored; a batch brings the late file twice and changed copies of stored rows."""
-    valid = _checked(spark, sf_dir).valid
-    stored, late = valid.where(~_is_late()), valid.where(_is_late())
-    batch = (
-        _at(late, 1)
-        .unionByName(_at(_more_errors(late), 2))
-        .unionByName(_at(_more_errors(stored), 3))
-    )
-    fresh = keyed.only_new(batch, stored, _SOURCE_KEY).drop(keyed.INPUT_POSITION)
-    return number_rows(stored.unionByName(fresh).orderBy(*_SOURCE_KEY), "raw_event_id")
+_AGAIN = " again"
 
 
 def _append_once(spark, sf_dir):
-    return _without(_raw_after_append(spark, sf_dir), "validation_errors", "validation_status")
+    """Raw rows keep the content they were first stored with."""
+    raw = _warehouse_after_redelivery(spark, sf_dir)["workflow_events_raw"]
+    return _plain(raw.select(*SOURCE_COLUMNS))
 
 
 def _raw_key_map(spark, sf_dir):
-    raw = _raw_after_append(spark, sf_dir)
-    return loads.raw_key_map(raw, raw.where(_is_late()))
+    """The stored row that each valid row of the late file refers to."""
+    store = _warehouse_after_redelivery(spark, sf_dir)
+    late = validate(orders.late_delivery(spark, sf_dir)).staged().valid
+    keys = loads.batch_raw_keys(store, late)
+    stored = store["workflow_events_raw"].select("raw_event_id", "workflow_id")
+    return keys.join(stored, "raw_event_id").drop("raw_event_id")
 
 
 def _quarantine_upsert(spark, sf_dir):
-    """Stored rejects; a batch brings those of the late file twice, the last copy counts."""
-    stored = _checked(spark, sf_dir).invalid
-    late = stored.where(_is_late())
-    batch = _at(_more_errors(late, 5), 1).unionByName(_at(_more_errors(late), 2))
-    latest = keyed.last_per_key(batch, _SOURCE_KEY).drop(keyed.INPUT_POSITION)
-    after = keyed.replace_by_key(stored, latest, _SOURCE_KEY)
-    return _plain(after.select(*_SOURCE_KEY, "workflow_id", "validation_errors", "error_count"))
+    """Rejects keep the content they came with last."""
+    stored = _warehouse_after_redelivery(spark, sf_dir).read(QUARANTINE)
+    errors = F.get_json_object("raw_payload", "$.error_count").cast("int")
+    return _plain(
+        stored.select(*_SOURCE_KEY, "workflow_id", "validation_errors", errors.alias("error_count"))
+    )
 
 
 def _staging_refresh(spark, sf_dir):
-    stored = _checked(spark, sf_dir).valid.withColumn("origin", F.lit("kept"))
-    batch = stored.where(_is_late()).withColumn("origin", F.lit("refreshed"))
-    after = keyed.replace_by_key(stored, batch, _SOURCE_KEY)
-    return after.select(*_SOURCE_KEY, "workflow_id", "origin", "status")
+    """Staged rows take the new content under the raw id of the row they refer to."""
+    store = _warehouse_after_redelivery(spark, sf_dir)
+    keys = store["workflow_events_raw"].select("raw_event_id", *_SOURCE_KEY)
+    again = F.col("queue_name").endswith(_AGAIN)
+    staged = store["workflow_events_clean"].join(keys, "raw_event_id")
+    origin = F.when(again, F.lit("refreshed")).otherwise(F.lit("kept")).alias("origin")
+    return staged.select(*_SOURCE_KEY, "workflow_id", origin, "status")
+
+
+# --- files --------------------------------------------------------------------------------------------
+
+
+def _as_csv(spark, sf_dir, *without: str) -> str:
+    """Both deliveries written as CSV files to the shared folder."""
+
+    def build():
+        path = scratch_path(spark, "csv")
+        _source(spark, sf_dir).drop(*without).write.option("header", True).option("escape", '"').csv(path)
+        return path
+
+    return _once(spark, sf_dir, f"csv without {without}", build)
+
+
+def _csv_source_rows(spark, sf_dir):
+    return _without(normalise_source(read_workflow_csv(spark, _as_csv(spark, sf_dir))).select(
+        *SOURCE_COLUMNS
+    ))
+
+
+def _csv_lineage(spark, sf_dir):
+    """Files without lineage: rows in all, and whether the numbers of every file run from 1 to n."""
+    rows = read_workflow_csv(spark, _as_csv(spark, sf_dir, *_SOURCE_KEY))
+    number = F.col("source_row_number").cast("bigint")
+    files = rows.groupBy("source_file_name").agg(
+        F.count("*").alias("n"),
+        F.min(number).alias("first"),
+        F.max(number).alias("last"),
+        F.count_distinct(number).alias("different"),
+    )
+    consecutive = (F.col("first") == 1) & (F.col("last") == F.col("n")) & (F.col("different") == F.col("n"))
+    return files.agg(F.sum("n").alias("n_rows"), F.bool_and(consecutive).alias("consecutive"))
+
+
+def _quarantine_csv(spark, sf_dir):
+    """Rejects as they are written where there is no quarantine table."""
+
+    def build():
+        path = scratch_path(spark, "diagnostics")
+        loads.write_quarantine_csv(_checked(spark, sf_dir).invalid, path)
+        return path
+
+    path = _once(spark, sf_dir, "quarantine csv", build)
+    written = spark.read.option("header", True).option("escape", '"').csv(path)
+    return written.select(
+        "source_file_name",
+        F.col("source_row_number").cast("bigint").alias("source_row_number"),
+        F.coalesce("workflow_id", F.lit("")).alias("workflow_id"),
+        "validation_errors",
+    )
+
+
+# --- members ------------------------------------------------------------------------------------------
 
 
 def _dimension_upsert(spark, sf_dir):
@@ -501,6 +562,9 @@ def queries() -> dict[str, Query]:
         "workflow_detail": _report(lambda t: reports.workflow_detail(t, "WF-00000007")),
         "latest_per_workflow": _report(reports.latest_runs),
         "dashboard": _report(_dashboard),
+        "csv_source_rows": _csv_source_rows,
+        "csv_lineage": _csv_lineage,
+        "quarantine_csv": _quarantine_csv,
         "append_once": _append_once,
         "raw_key_map": _raw_key_map,
         "quarantine_upsert": _quarantine_upsert,

@@ -597,17 +597,18 @@ def oracle_sql() -> dict[str, str]:
     )
 
     # loads
-    q["append_once"] = chain(
+    q["csv_source_rows"] = q["normalized_source"]
+    q["csv_lineage"] = chain(SOURCE, "SELECT count(*) AS n_rows, true AS consecutive FROM src")
+    q["quarantine_csv"] = chain(
         CHECKED,
-        f"""SELECT row_number() OVER (ORDER BY source_file_name, source_row_number) AS raw_event_id,
-            {_TYPED} FROM valid""",
+        """SELECT source_file_name, source_row_number, workflow_id,
+           '["' || array_to_string(errors, '","') || '"]' AS validation_errors FROM rejected""",
     )
+    q["append_once"] = chain(CHECKED, f"SELECT {_TYPED} FROM valid")
     q["raw_key_map"] = chain(
         CHECKED,
-        """SELECT * FROM (SELECT source_file_name, source_row_number,
-             row_number() OVER (ORDER BY source_file_name, source_row_number) AS raw_event_id FROM valid)
-           WHERE source_file_name IN (SELECT DISTINCT source_file_name FROM valid
-                                      WHERE source_file_name LIKE '%late%')""",
+        """SELECT source_file_name, source_row_number, workflow_id FROM valid
+           WHERE source_file_name = 'orders_late.csv'""",
     )
     q["quarantine_upsert"] = chain(
         CHECKED,
