@@ -23,10 +23,10 @@ are handled whole; control strings are ordinary text; repeated rows and other co
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -37,23 +37,30 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 LEAF_CHARS = 8192  # texts up to this length are matched in one piece
-LEAF_BYTES = 64  # matches up to this length are merged in one piece
+LEAF_BYTES = 6  # stretches of a match up to this length are merged in one piece
+SCANNED_BYTES = 40  # stretches up to this length look for the next merge by scanning
 MARGIN = 3  # characters of the longest fixed string in the pattern
-CACHED_MATCHES = 400_000  # encodings of matches a worker remembers
-CACHED_PAIRS = 400_000
+CACHED_MATCHES = 150_000  # encodings of matches a worker remembers, twice
+CACHED_PARTS = 50_000  # the same for leaves and windows, and for pairs of neighbours
+CACHED_BYTES = 24  # longest leaf or window that is remembered
+_NEVER = 1 << 60  # above every rank
 
 
 class _Memo(dict):
-    """Remembers results of a function of one argument; starts afresh when full."""
+    """Remembers results of a function; when full, what was used since the last time stays at hand."""
 
     def __init__(self, function, most: int):
         super().__init__()
-        self.function, self.most = function, most
+        self.function, self.most, self.old = function, most, {}
 
     def __missing__(self, key):
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.function(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.function(key)
+        self[key] = value
         return value
 
 
@@ -67,17 +74,34 @@ class Tokenizer:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.matched = _Memo(lambda match: self.encode_match(match.encode()), CACHED_MATCHES)
-        self.apart = _Memo(self._stay_apart, CACHED_PAIRS)
+        self.matched = _Memo(self._packed, CACHED_MATCHES)
+        self.merged = _Memo(self.merge, CACHED_PARTS)
+        self.apart = _Memo(self._stay_apart, CACHED_PARTS)
 
     # tokens of one match
 
     def merge(self, text: bytes) -> list[int]:
-        """Merge neighbours, lowest rank first and leftmost among equals, with a heap over a linked list."""
+        """Merge neighbours, lowest rank first and leftmost among equals."""
         ranks = self.ranks
         if (whole := ranks.get(text)) is not None:
             return [whole]
-        n = len(text)
+        if len(text) > SCANNED_BYTES:
+            return self._merge_long(text)
+        get, part = ranks.get, [text[i : i + 1] for i in range(len(text))]
+        pairs = [get(a + b, _NEVER) for a, b in zip(part, part[1:], strict=False)]
+        while pairs and (least := min(pairs)) < _NEVER:
+            i = pairs.index(least)
+            part[i : i + 2] = [part[i] + part[i + 1]]
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = get(part[i] + part[i + 1], _NEVER)
+            if i:
+                pairs[i - 1] = get(part[i - 1] + part[i], _NEVER)
+        return [ranks[p] for p in part]
+
+    def _merge_long(self, text: bytes) -> list[int]:
+        """The same with a heap over a linked list."""
+        ranks, n = self.ranks, len(text)
         part = [text[i : i + 1] for i in range(n)]
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [
@@ -108,7 +132,8 @@ class Tokenizer:
             return left + right
         i = j = 1
         while True:
-            window = self.merge(self.decode(left[len(left) - i :] + right[:j]))
+            text = self.decode(left[len(left) - i :] + right[:j])
+            window = self.merged[text] if len(text) <= CACHED_BYTES else self.merge(text)
             left_open = i < len(left) and not self.apart[left[-i - 1], window[0]]
             right_open = j < len(right) and not self.apart[window[-1], right[j]]
             if not left_open and not right_open:
@@ -120,7 +145,9 @@ class Tokenizer:
 
     def encode_match(self, match: bytes) -> list[int]:
         if len(match) <= LEAF_BYTES:
-            return self.merge(match)
+            return self.merged[match]
+        if (whole := self.ranks.get(match)) is not None:
+            return [whole]
         half = len(match) // 2
         return self.join(self.encode_match(match[:half]), self.encode_match(match[half:]))
 
@@ -149,8 +176,15 @@ class Tokenizer:
             left.append(match.group())
             at = match.end()
 
+    def _packed(self, match: str) -> bytes:
+        return array("i", self.encode_match(match.encode())).tobytes()
+
+    def encode_packed(self, text: str, leaf: int = LEAF_CHARS) -> np.ndarray:
+        """Ids of a text: those of its matches side by side."""
+        return np.frombuffer(b"".join(map(self.matched.__getitem__, self.matches(text, leaf=leaf))), np.int32)
+
     def encode(self, text: str, leaf: int = LEAF_CHARS) -> list[int]:
-        return list(chain.from_iterable(map(self.matched.__getitem__, self.matches(text, leaf=leaf))))
+        return self.encode_packed(text, leaf).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= LEAF_CHARS:
@@ -176,10 +210,9 @@ def with_tokens(
         for texts in batches:
             offsets, parts = [0], []
             for text in texts:
-                ids = own.encode(text.as_py()) if text.is_valid else []
-                parts.append(np.array(ids, np.int32))
-                offsets.append(offsets[-1] + len(ids))
-            values = np.concatenate(parts) if parts else np.empty(0, np.int32)
+                parts.append(own.encode_packed(text.as_py() or ""))
+                offsets.append(offsets[-1] + len(parts[-1]))
+            values = np.concatenate([np.empty(0, np.int32), *parts])
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
     return docs.withColumn(out, encode("text"))
