@@ -133,6 +133,7 @@ def _counts_as_bigint(df: DataFrame) -> DataFrame:
 
 
 _SOURCE_KEY = list(loads.SOURCE_KEY)
+_AGAIN = " again"  # marks the queue names of a redelivery
 
 # --- source and validation ---------------------------------------------------------------------------
 
@@ -298,9 +299,6 @@ def _warehouse_after_redelivery(spark, sf_dir):
     return _once(spark, sf_dir, "redelivery", build)
 
 
-_AGAIN = " again"
-
-
 def _append_once(spark, sf_dir):
     """Raw rows keep the content they were first stored with."""
     raw = _warehouse_after_redelivery(spark, sf_dir)["workflow_events_raw"]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from flowledger.operators.keyed import EVENT_NUMBER, first_per_key
 from flowledger.operators.numbering import stage, with_place, with_row_number
 from flowledger.operators.staging import prepare_staging
-from flowledger.operators.validation import Validated, summarise_validation, validate
+from flowledger.operators.validation import Validated, validate
 from flowledger.plans.loads import (
     SOURCE_KEY,
     batch_raw_keys,
