@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from flowledger.operators.numbering import stage
+from flowledger.session import scratch_path
+from flowledger.sources.files import remove
+
 # Fixed values of the contracts: what separates words, as a pattern and as characters.
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
@@ -52,3 +56,21 @@ def unwrapped(df: DataFrame, *added: str) -> DataFrame:
     names = {a.lower() for a in added}
     own = [f.name for f in df.schema["row"].dataType.fields if f.name.lower() not in names]
     return df.select(*[F.col("row")[c].alias(c) for c in own], *added)
+
+
+class Steps:
+    """Written intermediate results, deleted together once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, "step"))
+        return stage(df, self.paths[-1])
+
+    def drop(self, keep: int = 0) -> None:
+        """Delete all but the last `keep` results."""
+        cut = len(self.paths) - keep
+        for path in self.paths[:cut]:
+            remove(self.spark, path)
+        self.paths = self.paths[cut:]

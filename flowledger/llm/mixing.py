@@ -56,9 +56,9 @@ def _source_key():
     return F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
 
 
-def source_targets(sized: DataFrame) -> DataFrame:
-    """(_source, source_size, target), written: one row per source."""
-    sums = stage(sized.groupBy(_source_key().alias("_source")).agg(F.sum("size").alias("source_size")))
+def source_targets(sums: DataFrame) -> DataFrame:
+    """(_source, source_size, target), written: one row per source, from (_source, source_size)."""
+    sums = stage(sums)
     # sorted parts are written, then counted: no window over all sources
     numbered = number_rows(sums.orderBy("_source"), "_n")
     weights = F.array(*[F.lit(w) for w in WEIGHTS])
@@ -95,7 +95,8 @@ def mix(sized: DataFrame, seed: int = SEED) -> DataFrame:
             "_bucket": F.pmod(hash60(F.col("doc_id")), F.lit(n_buckets)),
         }
     )
-    cells = stage(placed.groupBy(*cell).agg(F.count("*").alias("_rows")))
+    cells = stage(placed.groupBy(*cell).agg(F.count("*").alias("_rows"), F.sum("size").alias("_words")))
+    targets = source_targets(cells.groupBy("_source").agg(F.sum("_words").alias("source_size")))
     in_class = Window.partitionBy("_source", "_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     in_source = Window.partitionBy("_source").orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
     classes = cells.groupBy("_source", "_class").agg(F.sum("_rows").alias("_rows"))
@@ -107,7 +108,7 @@ def mix(sized: DataFrame, seed: int = SEED) -> DataFrame:
     starts = (
         cells.withColumn("_start", prior(in_class))
         .join(class_start, ["_source", "_class"])
-        .join(source_targets(sized), "_source")
+        .join(targets, "_source")
         .select(*cell, (F.col("_start") + F.col("_class_start")).alias("_start"), "source_size", "target")
     )
     numbered = placed.join(starts, cell).withColumn(
@@ -134,7 +135,8 @@ def mix_sizes(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 def emit(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix itself: every document as often as it is taken, with its own columns only."""
-    sized = stage(with_size(wrapped(docs, "doc_id", "source", "text")).drop("text"))
+    # sizes are counted in both passes over the texts: cheaper than writing the texts once more
+    sized = with_size(wrapped(docs, "doc_id", "source", "text")).drop("text")
     mixed = mix(sized, seed).where("copies > 0")
     each = mixed.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
     return unwrapped(each)

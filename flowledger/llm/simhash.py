@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flowledger.llm.common import free_name
+from flowledger.llm.common import Steps, free_name
 from flowledger.operators.numbering import stage
 
 SHINGLE = 3  # words
@@ -205,7 +205,7 @@ def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Reco
 
 
 def close_links(prints: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Links (a, b), written, that connect all distinct fingerprints within `radius` bits of each other."""
+    """Links (a, b) that connect all distinct fingerprints within `radius` bits of each other."""
     masks = F.array(*[F.lit(m) for m in _masks(radius)])
     dealt = prints.select("fingerprint", F.posexplode(masks).alias("which", "mask")).select(
         F.col("which").cast("bigint").alias("which"),
@@ -227,7 +227,7 @@ def close_links(prints: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_R
     key = ["which", "bits", "ta", "tb"]
     grouped = rows.repartition(*key).sortWithinPartitions(*key, "value")
     found = grouped.mapInArrow(lambda batches: _compare(batches, radius), "a bigint, b bigint")
-    return stage(found.distinct())
+    return found.distinct()
 
 
 # --- components ---------------------------------------------------------------------------------------
@@ -235,26 +235,28 @@ def close_links(prints: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_R
 
 def star_components(links: DataFrame) -> DataFrame:
     """(a, b): every linked value with the smallest value of its component, by star contraction."""
+    steps = Steps(links.sparkSession)
 
     def checksum(df):
         row = df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         return tuple(row)
 
-    edges = links.where("a <> b")
+    edges = steps.stage(links.where("a <> b"))
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         # large star: larger neighbours move to the smallest value around
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stage(large.where("a <> b").distinct())
+        large = steps.stage(large.where("a <> b").distinct())
         # small star: smaller neighbours and the value itself move to the smallest one
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stage(
+        edges = steps.stage(
             small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
         )
+        steps.drop(keep=1)
         now = checksum(edges)
         if now == before:
             return edges
@@ -263,12 +265,15 @@ def star_components(links: DataFrame) -> DataFrame:
 
 def components(prints: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(fingerprint, component_id) of all distinct fingerprints in written rows (doc_id, fingerprint)."""
-    distinct = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")))
+    steps = Steps(prints.sparkSession)
+    distinct = steps.stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")))
     roots = star_components(close_links(distinct, radius, tile_rows))
     rooted = distinct.join(roots.withColumnsRenamed({"a": "fingerprint", "b": "_root"}), "fingerprint", "left")
     rooted = rooted.withColumn("_root", F.coalesce("_root", "fingerprint"))
     smallest = rooted.groupBy("_root").agg(F.min("least_id").alias("component_id"))
-    return stage(rooted.join(smallest, "_root").select("fingerprint", "component_id", "_root"))
+    found = stage(rooted.join(smallest, "_root").select("fingerprint", "component_id", "_root"))
+    steps.drop()
+    return found
 
 
 def near_duplicates(

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowledger.llm.common import unwrapped, wrapped
+from flowledger.llm.common import Steps, unwrapped, wrapped
 from flowledger.llm.rolling import PIECE, POWERS, buffer_of
 from flowledger.operators.numbering import stage
 
@@ -371,18 +371,19 @@ def removed_spans(
     """(place, spans) of the written rows (place, doc, text); a span is a start and a number of windows."""
     if min_bytes < 8:
         raise ValueError("the minimum length is eight bytes or more")
+    steps = Steps(docs.sparkSession)
     texts = docs.select("place", "doc", "text").where(F.octet_length("text") >= min_bytes)
     counts = texts.select("text").mapInArrow(lambda b: _key_counts(b, min_bytes), "key bigint, n bigint")
-    shared = stage(counts.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"))
+    shared = steps.stage(counts.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"))
     every = texts.mapInArrow(
         lambda b: _all_runs(b, min_bytes),
         "key bigint, hash bigint, doc bigint, place bigint, start bigint, windows int, twice boolean",
     )
-    found = stage(every.join(shared, "key", "left_semi"))
+    found = steps.stage(every.join(shared, "key", "left_semi"))
 
     same = ["key", "hash", "windows", "twice"]
     first = F.min(F.struct("doc", "place", "start"))
-    classes = stage(found.groupBy(*same).agg(first.alias("first"), F.count("*").alias("n")))
+    classes = steps.stage(found.groupBy(*same).agg(first.alias("first"), F.count("*").alias("n")))
     copies = found.join(classes.where("n > 1").select(*same, "first"), same).where(
         "place <> first.place or start <> first.start"
     )
@@ -396,7 +397,7 @@ def removed_spans(
         .groupBy(F.col("first.place").alias("place"))
         .agg(F.collect_list(run).alias("wanted"))  # at most the runs of one document
     )
-    segments = stage(
+    segments = steps.stage(
         texts.join(wanted, "place").mapInArrow(
             lambda b: _segments(b, min_bytes),
             "key bigint, classes bigint, doc bigint, place bigint, start bigint, bytes binary",
@@ -418,9 +419,10 @@ def removed_spans(
         .select("place", "start", F.lit(1).alias("windows"))
     )
     spans = spans.unionByName(by_blocks).unionByName(by_hash)
-    return stage(
-        spans.groupBy("place").agg(F.sort_array(F.collect_list(F.struct("start", "windows"))).alias("spans"))
-    )
+    each = F.sort_array(F.collect_list(F.struct("start", "windows")))
+    by_text = stage(spans.groupBy("place").agg(each.alias("spans")))
+    steps.drop()
+    return by_text
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64())])

@@ -5,7 +5,6 @@ import random
 import re
 from collections import Counter
 
-import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -18,7 +17,6 @@ from flowledger.llm.queries import queries
 from llm.helpers import documents, odd_rows, random_text, write_tables
 from llm.test_mixing_sharding import plain_targets, size_of
 from llm.test_simhash import plain_components, plain_fingerprint
-from llm.test_suffix_dedup import plain as plain_dedup
 
 LABELS = "doc_id bigint, quality int, toxic int"
 
