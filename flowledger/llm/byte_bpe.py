@@ -40,9 +40,10 @@ LEAF_CHARS = 8192  # texts up to this length are matched in one piece
 LEAF_BYTES = 6  # stretches of a match up to this length are merged in one piece
 SCANNED_BYTES = 40  # stretches up to this length look for the next merge by scanning
 MARGIN = 3  # characters of the longest fixed string in the pattern
-CACHED_MATCHES = 150_000  # encodings of matches a worker remembers, twice
+CACHED_MATCHES = 100_000  # encodings of matches a worker remembers, twice
 CACHED_PARTS = 50_000  # the same for leaves and windows, and for pairs of neighbours
 CACHED_BYTES = 24  # longest leaf or window that is remembered
+SLICE = 1000  # texts a worker holds results of
 _NEVER = 1 << 60  # above every rank
 
 
@@ -199,6 +200,10 @@ def tokenizer(path: str = VOCABULARY, pattern: str = PATTERN) -> Tokenizer:
     return Tokenizer(path, pattern)
 
 
+def _slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    return (b.slice(at, SLICE) for b in batches for at in range(0, len(b), SLICE))
+
+
 def with_tokens(
     docs: DataFrame, out: str = "token_ids", path: str = VOCABULARY, pattern: str = PATTERN
 ) -> DataFrame:
@@ -207,7 +212,7 @@ def with_tokens(
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = tokenizer(path, pattern)
-        for texts in batches:
+        for texts in _slices(batches):
             offsets, parts = [0], []
             for text in texts:
                 parts.append(own.encode_packed(text.as_py() or ""))
@@ -226,7 +231,7 @@ def with_decoded(
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = tokenizer(path)
-        for lists in batches:
+        for lists in _slices(batches):
             yield pa.array([own.decode(x.as_py() or []) for x in lists], pa.binary())
 
     return tokens.withColumn(out, decode(ids))
