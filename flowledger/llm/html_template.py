@@ -14,12 +14,12 @@ the host; tokens with equal vectors form an equivalence class.
   reader comments are told by tag, role and the words of class and id, and dropped with all below them.
 * The article is the slot that says so (article, main, or the role or property of either). Hosts without
   one take the deepest frame container that holds most of the text that differs between pages; there,
-  blocks that return in most pages of the host belong to the template.
+  blocks that return in most of the host's different contents belong to the template.
 
 Text is decoded, white space inside a block becomes one space, and blocks are joined in page order.
 
 Edge cases: null or empty html and pages without an article text give an empty text; a null or odd url is
-a host of its own name; repeated rows are pages of their own (as copies they agree); broken markup is
+a host of its own name; repeated rows are one content; broken markup is
 read as far as it goes (unclosed tags end with their parent); very long pages are read whole; columns
 called like a result column are replaced, all others pass.
 """
@@ -30,6 +30,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -37,9 +38,9 @@ from pyspark.sql import DataFrame, functions as F
 from flowledger.llm.common import unwrapped, wrapped
 from flowledger.operators.numbering import stage
 
-SUPPORT = 0.5  # share of a host's pages a template token occurs in
+SUPPORT = 0.5  # share of a host's pages a template token occurs in, and of its contents a template block
 MOST = 0.6  # share of the differing text the container of the article holds
-REPEATED_PAGES = 4  # a block must return in that many pages at least to belong to the template
+REPEATED_PAGES = 4  # a block must return in that many contents at least to belong to the template
 
 DEPTH = 512  # elements nested deeper than browsers do count as siblings; their text stays
 
@@ -298,25 +299,33 @@ def article_blocks(found: list[tuple[str, int, str]], container: str) -> tuple[l
     return inside or [block for _, _, block in kept], False
 
 
+def _number(text: str) -> int:
+    """A 64-bit hash of a text, the same in every process."""
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
 def _unmarked_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, page, block) of the different blocks of pages that mark no article."""
+    """(host, content, blocks) of pages that mark no article: hashes of all blocks together and of each."""
     for batch in batches:
         out: list[list] = [[], [], []]
-        names = ("host", "page", "html", "container")
-        for host, number, page, container in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+        names = ("host", "html", "container")
+        for host, page, container in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
             found, marked = article_blocks(blocks(page or "")[1], container or "")
             if not marked:
-                for block in dict.fromkeys(found):
-                    for column, value in zip(out, (host, number, block), strict=True):
-                        column.append(value)
-        types = [pa.string(), pa.int64(), pa.string()]
+                row = (host, _number("\n".join(found)), [_number(b) for b in dict.fromkeys(found)])
+                for column, value in zip(out, row, strict=True):
+                    column.append(value)
+        types = [pa.string(), pa.int64(), pa.list_(pa.int64())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(out, types, strict=True)], ["host", "page", "block"]
+            [pa.array(c, t) for c, t in zip(out, types, strict=True)], ["host", "content", "blocks"]
         )
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, container, repeated): where the article is, and blocks that most pages of the host share."""
+    """(host, container, repeated): where the article is, and blocks that most contents of the host share.
+
+    Copies of one content count once, else the article that most pages copy would be taken for template.
+    """
     classes = deduce_templates(pages)
     whole = F.struct("host_pages", "pages", "total", "vector", "tokens")
     containers = stage(
@@ -324,25 +333,29 @@ def templates(pages: DataFrame) -> DataFrame:
         .agg(F.collect_list(whole).alias("classes"))  # at most the frequent tokens of one host
         .mapInArrow(_container_rows, "host string, container string")
     )
-    sizes = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
+    found = pages.join(containers, "host", "left").mapInArrow(
+        _unmarked_blocks, "host string, content bigint, blocks array<bigint>"
+    )
+    contents = stage(found.groupBy("host", "content").agg(F.min("blocks").alias("blocks")))
+    sizes = contents.groupBy("host").agg(F.count("*").alias("contents"))
     shared = (
-        pages.join(containers, "host", "left")
-        .mapInArrow(_unmarked_blocks, "host string, page bigint, block string")
+        contents.select("host", F.explode("blocks").alias("block"))
         .groupBy("host", "block")
         .agg(F.count("*").alias("pages"))
         .where(F.col("pages") >= REPEATED_PAGES)
         .join(sizes, "host")
-        .where(F.col("pages") > F.col("host_pages") * F.lit(SUPPORT))
+        .where(F.col("pages") > F.col("contents") * F.lit(SUPPORT))
         .groupBy("host")
         .agg(F.collect_list("block").alias("repeated"))  # at most twice the blocks of an average page
     )
     return stage(containers.join(shared, "host", "left"))
 
 
-def main_text(page: str | None, container: str | None, repeated: list[str] | None) -> str:
+def main_text(page: str | None, container: str | None, repeated: list[int] | None) -> str:
     found, marked = article_blocks(blocks(page or "")[1], container or "")
     if not marked and repeated:
-        found = [block for block in found if block not in set(repeated)]
+        gone = set(repeated)
+        found = [block for block in found if _number(block) not in gone]
     return " ".join(found)
 
 

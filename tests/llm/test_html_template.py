@@ -58,6 +58,15 @@ def test_template_without_names(spark):
     assert got == {i: f"Text {i} of the page, quite long, {i}{i} More text {i} below it" for i in range(8)}
 
 
+def test_copies_of_one_article_are_no_template(spark):
+    page = "<html><body><div><p>Always here</p><h1>Title {i}</h1><p>Words of story {i}, and some more</p></div></body></html>"
+    stories = [0, 1, 2, 3, *[4] * 7]  # most urls of the host are copies of one article
+    rows = [(n, f"http://c.example/{n}", page.format(i=i)) for n, i in enumerate(stories)]
+    got = extracted(spark, rows)
+    assert got == {n: f"Title {i} Words of story {i}, and some more" for n, i in enumerate(stories)}
+    assert extracted(spark, rows[:1] * 6) == {0: "Always here Title 0 Words of story 0, and some more"}
+
+
 def test_equivalence_classes(spark):
     rows = [(f"<html><body><h1>a</h1><ul>{'<li>x' * n}</ul></body></html>", n) for n in (1, 2, 3, 2)]
     pages = spark.createDataFrame([("h", n, i, p) for i, (p, n) in enumerate(rows)], "host string, n int, page bigint, html string")
