@@ -6,15 +6,17 @@ the host; tokens with equal vectors form an equivalence class.
 
 * Vectors are never put together: each is summed up, per host and token, as a 64-bit number (a hash of
   the page times the count), so a host with a third of all pages is pre-aggregated in every task.
-* Large classes of tokens that occur in at least `SUPPORT` of a host's pages are valid if their tokens
-  nest: every token but the outermost lies below another of the template. They are nested by path into
-  the template; the class that occurs once in every page is its frame.
-* The tokens of the frame divide a page into slots, and text belongs to the slot of the nearest frame
-  token above it. Slots of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-  reader comments are told by tag, role and the words of class and id, and dropped with all below them.
-* The article is the slot that says so (article, main, or the role or property of either). Hosts without
-  one take the deepest frame container that holds most of the text that differs between pages; there,
-  blocks that return in most of the host's different contents belong to the template.
+* Only tokens that occur in at least `SUPPORT` of a host's pages count. A vector that is k times the vector
+  of its pages says that the token occurs k times in each: every occurrence is a role of its own, and roles
+  on the same pages make up a class. Classes of `SIZE` roles, or on every page, are valid as far as they nest:
+  every token lies below another of the template. Together they are the frame.
+* The frame divides a page into slots; each block belongs to the slot of the nearest role above it.
+* Text that is the same wherever its slot occurs, and blocks that return in most of the host's different
+  contents, belong to the template, also inside an article.
+* Tags, roles and the words of class and id only pick among slots: menus, headers, footers, sidebars, notices,
+  adverts, forms, scripts, styles and reader comments are dropped with all below them; a page that marks its
+  article (article, main, or the role or property of either) keeps what it marks, also below a class word.
+  Other pages take the container of the differing text.
 
 Text is decoded, white space inside a block becomes one space, and blocks are joined in page order.
 
@@ -40,6 +42,7 @@ from flowledger.operators.numbering import stage
 
 SUPPORT = 0.5  # share of a host's pages a template token occurs in, and of its contents a template block
 MOST = 0.6  # share of the differing text the container of the article holds
+SIZE = 3  # roles in a class that is not on every page, at least
 REPEATED_PAGES = 4  # a block must return in that many contents at least to belong to the template
 
 DEPTH = 512  # elements nested deeper than browsers do count as siblings; their text stays
@@ -79,6 +82,7 @@ _ASIDE_WORDS = frozenset(
     "promoted related replies reply search share sharing sidebar signup social sponsor sponsored subscribe "
     "subscription toolbar topbar widget widgets".split()
 )
+_TALK_WORDS = frozenset("comment comments discussion disqus replies reply".split())  # may outweigh the article
 _ARTICLE_TAGS = frozenset(["article", "main"])
 
 _TOKEN = re.compile(
@@ -86,20 +90,23 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([\w-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 _WORD = re.compile(r"[a-z]+")
-_ARTICLE, _ASIDE = 1, 2  # flags of a path
+# Flags of a path: an article; beside it by tag or role; beside it by a word of a class or id, and by one for
+# reader comments; an article mark on or below an element with such a word, which does not overrule it.
+_ARTICLE, _ASIDE, _WORDED, _TALK, _LIFTED = 1, 2, 4, 8, 16
 
 
 class _Element:
-    """An open element: its path, and whether the path leads into an article or beside it."""
+    """An open element: its path and which of that path on the page it is, whether the path leads into an
+    article or beside it, the paths of the elements on it whose words say beside, and the element above."""
 
-    __slots__ = ("tag", "path", "flags")
+    __slots__ = ("tag", "path", "number", "flags", "words", "above")
 
-    def __init__(self, tag: str, path: str, flags: int):
-        self.tag, self.path, self.flags = tag, path, flags
+    def __init__(self, tag: str, path: str, number: int, flags: int, words: tuple[str, ...], above: _Element | None):
+        self.tag, self.path, self.number, self.flags, self.words, self.above = tag, path, number, flags, words, above
 
 
-def _marks(tag: str, rest: str) -> tuple[str, int]:
-    """How an opening tag is written in a path, and its own flags."""
+def _marks(tag: str, rest: str) -> tuple[str, int, bool]:
+    """How an opening tag is written in a path, its own flags, and whether `header` is its only word."""
     label, flags = tag, 0
     words: set[str] = set()
     roles: set[str] = set()
@@ -114,18 +121,33 @@ def _marks(tag: str, rest: str) -> tuple[str, int]:
                 roles.update(value.split())
     if tag in _ARTICLE_TAGS or roles & {"main", "article", "articlebody"}:
         flags = _ARTICLE
-    if tag in _ASIDE_TAGS or roles & _ASIDE_ROLES or words & _ASIDE_WORDS and tag not in ("body", "html"):
+    if tag in _ASIDE_TAGS or roles & _ASIDE_ROLES:
         flags = _ASIDE
-    return label, flags
-
-
-def blocks(page: str) -> tuple[Counter, list[tuple[str, int, str]]]:
-    """Tokens of a page with their counts, and its text blocks as (path, flags, text)."""
+    words = words & _ASIDE_WORDS if tag not in ("body", "html") else set()
+    if words & _TALK_WORDS:
+        flags |= _TALK
+    elif words:
+        flags |= _WORDED
+    return label, flags, words == {"header"}
+
+
+def _entered(above: int, own: int, header: bool) -> int:
+    """Flags inside an element with the flags `own` that lies below `above`."""
+    if above & _ARTICLE and header:
+        own &= ~_WORDED  # the header of an article is not that of the page
+    flags = above | own
+    if own & _ARTICLE and flags & (_WORDED | _TALK):
+        flags = flags & ~_WORDED | _LIFTED
+    return flags
+
+
+def blocks(page: str) -> tuple[Counter, list[tuple[_Element, str]]]:
+    """Tokens of a page with their counts, and its text blocks with the elements they lie in."""
     tokens: Counter = Counter()
-    found: list[tuple[str, int, str]] = []
-    root = _Element("", "", 0)
+    found: list[tuple[_Element, str]] = []
+    root = _Element("", "", 1, 0, (), None)
     open_, text, at = [root], [], 0
-    known: dict[tuple[str, str], tuple[str, int]] = {}
+    known: dict[tuple[str, str], tuple[str, int, bool]] = {}
 
     def end_block():
         if text:
@@ -134,7 +156,7 @@ def blocks(page: str) -> tuple[Counter, list[tuple[str, int, str]]]:
             if block:
                 # inline elements do not tell blocks apart
                 holder = next((e for e in reversed(open_) if e.tag in _BLOCKS), root)
-                found.append((holder.path, holder.flags, block))
+                found.append((holder, block))
 
     def close(tags: frozenset, stop: frozenset):
         for i in range(len(open_) - 1, 0, -1):
@@ -168,13 +190,18 @@ def blocks(page: str) -> tuple[Counter, list[tuple[str, int, str]]]:
                 close(frozenset(["p"]), _SCOPE)
             if tag in _CLOSES:
                 close(_CLOSES[tag], _SCOPE - _CLOSES[tag])
-        if (label := known.get((tag, token[3]))) is None:
-            label = known[tag, token[3]] = _marks(tag, token[3])
+        if (marks := known.get((tag, token[3]))) is None:
+            marks = known[tag, token[3]] = _marks(tag, token[3])
+        label, own, header = marks
         above = open_[-1]
-        path, flags = f"{above.path}>{label[0]}", above.flags
-        if tag == "header" and not flags & _ARTICLE:
+        path, flags = f"{above.path}>{label}", _entered(above.flags, own, header)
+        words = above.words
+        if own & _ARTICLE:
+            words = ()
+        elif own & _WORDED and not (header and above.flags & _ARTICLE):
+            words += (path,)
+        if tag == "header" and not above.flags & _ARTICLE:
             flags |= _ASIDE  # a page's own header, not that of an article
-        flags |= label[1]
         tokens[path] += 1
         if tag == "br":
             text.append(" ")
@@ -185,7 +212,7 @@ def blocks(page: str) -> tuple[Counter, list[tuple[str, int, str]]]:
             at = end.end() if end else size
             continue
         if len(open_) < DEPTH:
-            open_.append(_Element(tag, path, flags))
+            open_.append(_Element(tag, path, tokens[path], flags, words, above))
     end_block()
     return tokens, found
 
@@ -198,25 +225,16 @@ def _is_container(path: str) -> bool:
 
 
 def _page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page: its tokens with counts, and the differing text below each container as blocks."""
+    """Per page: its tokens with counts."""
     for batch in batches:
-        out: list[list] = [[] for _ in range(5)]
+        out: list[list] = [[] for _ in range(4)]
         for host, number, page in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "html")), strict=True):
-            tokens, found = blocks(page or "")
-            sizes: Counter = Counter()
-            for path, flags, block in found:
-                if not flags & _ASIDE:
-                    while path:
-                        if _is_container(path):
-                            sizes[path] += len(block)
-                        path = path.rpartition(">")[0]
-            for path, n in tokens.items():
-                row = (host, number, path, n, sizes[path])
-                for column, value in zip(out, row, strict=True):
+            for path, n in blocks(page or "")[0].items():
+                for column, value in zip(out, (host, number, path, n), strict=True):
                     column.append(value)
-        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        types = [pa.string(), pa.int64(), pa.string(), pa.int64()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(out, types, strict=True)], ["host", "page", "token", "n", "chars"]
+            [pa.array(c, t) for c, t in zip(out, types, strict=True)], ["host", "page", "token", "n"]
         )
 
 
@@ -232,142 +250,266 @@ def deduce_templates(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     `pages` has host, page (a number) and html. At most 1 / support times as many tokens are kept per host
     as a page holds on average.
     """
-    tokens = pages.mapInArrow(
-        _page_tokens, "host string, page bigint, token string, n bigint, chars bigint"
-    )
-    # the occurrence vector as one number
-    part = F.xxhash64("page").cast("decimal(20,0)") * F.col("n").cast("decimal(10,0)")
+    tokens = pages.mapInArrow(_page_tokens, "host string, page bigint, token string, n bigint")
+    # the occurrence vector as one number, and that of the pages alone
+    here = F.xxhash64("page").cast("decimal(20,0)")
+    part = here * F.col("n").cast("decimal(10,0)")
     summed = stage(
         tokens.groupBy("host", "token").agg(
             F.count("*").alias("pages"),
             F.sum("n").alias("total"),
             F.sum(part.cast("decimal(38,0)")).cast("string").alias("vector"),
-            F.sum("chars").alias("chars"),
+            F.sum(here.cast("decimal(38,0)")).cast("string").alias("set"),
         )
     )
     sizes = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
     frequent = summed.join(sizes, "host").where(F.col("pages") >= F.lit(support) * F.col("host_pages"))
-    return frequent.groupBy("host", "host_pages", "pages", "total", "vector").agg(
-        F.sort_array(F.collect_list(F.struct("token", "chars"))).alias("tokens")
+    return frequent.groupBy("host", "host_pages", "pages", "total", "vector", "set").agg(
+        F.sort_array(F.collect_list(F.struct("token"))).alias("tokens")
     )
 
 
-def _nested(classes: list[dict]) -> tuple[set[str], dict[str, int]]:
-    """The frame and the text below each token: valid classes of one host nested by path."""
-    paths = {t["token"] for c in classes for t in c["tokens"]}
-    frame: set[str] = set()
-    chars: dict[str, int] = {}
+def frame_of(classes: list[dict]) -> set[str]:
+    """The tokens of one host whose occurrences have fixed roles, from its classes of equal vectors.
+
+    A vector that is a whole multiple of that of its pages says: so many times in each of them. Each of
+    the occurrences then has a role of its own, and the roles on the same pages are one class. Classes are
+    valid if they are large or on every page, and their tokens as far as they nest.
+    """
+    roles: dict[tuple, list[tuple[str, int]]] = {}
     for c in classes:
-        # valid: every token hangs below a token of the template
-        tokens = [t for t in c["tokens"] if (above := t["token"].rpartition(">")[0]) == "" or above in paths]
-        if c["pages"] == c["total"] == c["host_pages"]:
-            frame.update(t["token"] for t in tokens)
-        chars.update((t["token"], t["chars"]) for t in tokens)
-    return frame, chars
+        times = c["total"] // c["pages"]
+        if times * int(c["set"]) == int(c["vector"]):
+            everywhere = c["pages"] == c["host_pages"]
+            roles.setdefault((everywhere, c["set"]), []).extend((t["token"], times) for t in c["tokens"])
+    valid = {
+        token for (everywhere, _), own in roles.items() if everywhere or sum(n for _, n in own) >= SIZE for token, _ in own
+    }
+    frame = {""}
+    for token in sorted(valid, key=lambda t: t.count(">")):
+        if token.rpartition(">")[0] in frame:
+            frame.add(token)
+    return frame
+
+
+def _frame_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(r["host"], sorted(map(_number, frame_of(r["classes"])))) for r in batch.to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))],
+            ["host", "frame"],
+        )
 
 
-def article_container(classes: list[dict]) -> str:
-    """The deepest frame container with most of the text, of a host whose pages mark no article."""
-    frame, chars = _nested(classes)
-    candidates = [p for p in frame if _is_container(p) and chars.get(p)]
-    if not candidates:
-        return ""
-    most = max(chars[p] for p in candidates)
-    return max((p for p in candidates if chars[p] >= MOST * most), key=lambda p: (p.count(">"), chars[p], p))
+# --- slots --------------------------------------------------------------------------------------------
 
 
-def _container_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _number(text: str) -> int:
+    """A 64-bit hash of a text, the same in every process."""
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def slots_of(found: list[tuple[_Element, str]], frame: set[int]) -> list[str]:
+    """The slot of each block: the nearest token of the frame above it and which occurrence that is.
+
+    An element between the two whose words say beside is a slot of its own.
+    """
+    numbers: dict[str, int] = {}
+    known: dict[int, str] = {}
+    out = []
+    for holder, _ in found:
+        if (slot := known.get(id(holder))) is None:
+            e = holder
+            while e.above is not None:
+                if (number := numbers.get(e.path)) is None:
+                    number = numbers[e.path] = _number(e.path)
+                if number in frame:
+                    break
+                e = e.above
+            slot = f"{e.path}#{e.number}"
+            if holder.words and len(holder.words[-1]) > len(e.path):
+                slot = f"{holder.words[-1]}#0"
+            known[id(holder)] = slot
+        out.append(slot)
+    return out
+
+
+def article_blocks(found: list[tuple[_Element, str]]) -> tuple[list[tuple[_Element, str]], bool]:
+    """The blocks the article is picked from, and whether the page itself says where it is."""
+    kept = [(e, block) for e, block in found if not e.flags & _ASIDE]
+    plain = [p for p in kept if p[0].flags & _ARTICLE and not p[0].flags & (_WORDED | _TALK | _LIFTED)]
+    lifted = [p for p in kept if p[0].flags & _LIFTED and not p[0].flags & (_WORDED | _TALK)]
+    if sum(len(block) for _, block in lifted) > sum(len(block) for _, block in plain):
+        both = {id(p) for p in plain} | {id(p) for p in lifted}
+        return [p for p in kept if id(p) in both], True
+    if plain:
+        return plain, True
+    talk = [p for p in kept if p[0].flags & _LIFTED and not p[0].flags & _WORDED]
+    other = [p for p in kept if not p[0].flags & (_TALK | _LIFTED)]
+    return (talk, True) if talk and not any(not e.flags & _WORDED for e, _ in other) else (other, False)
+
+
+def _page_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per page: a hash of all blocks, those of the different blocks, and its slots with a hash of their text."""
     for batch in batches:
-        rows = [(r["host"], article_container(r["classes"])) for r in batch.to_pylist()]
+        out: list[list] = [[] for _ in range(4)]
+        names = ("host", "html", "frame")
+        for host, page, frame in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            found, marked = article_blocks(blocks(page or "")[1])
+            texts: dict[str, list[str]] = {}
+            for slot, (_, block) in zip(slots_of(found, set(frame or [])), found, strict=True):
+                texts.setdefault(slot, []).append(block)
+            slots = [
+                {"slot": k, "words": _is_word(k), "marked": marked, "text": _number("\n".join(v)), "chars": sum(map(len, v))}
+                for k, v in sorted(texts.items())
+            ]
+            whole = _number("\n".join(block for _, block in found))
+            row = (host, whole, [_number(b) for b in dict.fromkeys(b for _, b in found)], slots)
+            for column, value in zip(out, row, strict=True):
+                column.append(value)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())],
-            ["host", "container"],
+            [pa.array(c, t) for c, t in zip(out, _SLOT_TYPES, strict=True)], ["host", "content", "blocks", "slots"]
+        )
+
+
+def _is_word(slot: str) -> bool:
+    return slot.endswith("#0")
+
+
+_SLOT_TYPES = [
+    pa.string(),
+    pa.int64(),
+    pa.list_(pa.int64()),
+    pa.list_(
+        pa.struct(
+            [("slot", pa.string()), ("words", pa.bool_()), ("marked", pa.bool_()), ("text", pa.int64()), ("chars", pa.int64())]
         )
+    ),
+]
+_SLOTS = (
+    "host string, content bigint, blocks array<bigint>, "
+    "slots array<struct<slot:string,words:boolean,marked:boolean,text:bigint,chars:bigint>>"
+)
+
+
+def _path(slot: str) -> str:
+    return slot.rpartition("#")[0]
 
 
 def _below(path: str, container: str) -> bool:
     return container == "" or path == container or path.startswith(container + ">")
 
 
-def article_blocks(found: list[tuple[str, int, str]], container: str) -> tuple[list[str], bool]:
-    """The blocks of the article, and whether the page itself says where it is."""
-    kept = [(path, flags, block) for path, flags, block in found if not flags & _ASIDE]
-    marked = [block for _, flags, block in kept if flags & _ARTICLE]
-    if marked:
-        return marked, True
-    inside = [block for path, _, block in kept if _below(path, container)]
-    return inside or [block for _, _, block in kept], False
+def article_container(slots: list[dict]) -> str:
+    """The deepest container of most of the differing text, of a host whose pages mark no article."""
+    chars: Counter = Counter()
+    for s in slots:
+        path = _path(s["slot"])
+        while path:
+            if _is_container(path):
+                chars[path] += s["chars"]
+            path = path.rpartition(">")[0]
+    most = max(chars.values(), default=0)
+    return max((p for p in chars if chars[p] >= MOST * most), key=lambda p: (p.count(">"), chars[p], p), default="")
 
 
-def _number(text: str) -> int:
-    """A 64-bit hash of a text, the same in every process."""
-    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+def decide(contents: int, slots: list[dict]) -> tuple[str, list[str]]:
+    """(container, fixed): where the unmarked article of a host is, and the slots that hold template text.
 
+    `slots` are those in at least `SUPPORT` of the host's different contents. A slot is fixed if its text
+    is the same everywhere; with few contents only outside the container, where chance counts less.
+    """
+    fixed = [s for s in slots if contents > 1 and s["least"] == s["most"] and s["contents"] > SUPPORT * contents]
+    names = {s["slot"] for s in fixed}
+    container = article_container([s for s in slots if not s["marked"] and not s["words"] and s["slot"] not in names])
+    return container, sorted(
+        s["slot"]
+        for s in fixed
+        if s["contents"] >= REPEATED_PAGES or not s["marked"] and not _below(_path(s["slot"]), container)
+    )
 
-def _unmarked_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, content, blocks) of pages that mark no article: hashes of all blocks together and of each."""
+
+def _decided_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out: list[list] = [[], [], []]
-        names = ("host", "html", "container")
-        for host, page, container in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-            found, marked = article_blocks(blocks(page or "")[1], container or "")
-            if not marked:
-                row = (host, _number("\n".join(found)), [_number(b) for b in dict.fromkeys(found)])
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-        types = [pa.string(), pa.int64(), pa.list_(pa.int64())]
+        rows = [(r["host"], *decide(r["host_contents"], r["slots"])) for r in batch.to_pylist()]
+        columns = [[r[i] for r in rows] for i in range(3)]
+        types = [pa.string(), pa.string(), pa.list_(pa.string())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(out, types, strict=True)], ["host", "content", "blocks"]
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["host", "container", "fixed"]
         )
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, container, repeated): where the article is, and blocks that most contents of the host share.
+    """Per host: its frame, where the article is, its slots of template text, and blocks most contents share.
 
     Copies of one content count once, else the article that most pages copy would be taken for template.
     """
     classes = deduce_templates(pages)
-    whole = F.struct("host_pages", "pages", "total", "vector", "tokens")
-    containers = stage(
-        classes.groupBy("host", "host_pages")
+    whole = F.struct("host_pages", "pages", "total", "vector", "set", "tokens")
+    frames = stage(
+        classes.groupBy("host")
         .agg(F.collect_list(whole).alias("classes"))  # at most the frequent tokens of one host
-        .mapInArrow(_container_rows, "host string, container string")
-    )
-    found = pages.join(containers, "host", "left").mapInArrow(
-        _unmarked_blocks, "host string, content bigint, blocks array<bigint>"
+        .mapInArrow(_frame_rows, "host string, frame array<bigint>")
     )
-    contents = stage(found.groupBy("host", "content").agg(F.min("blocks").alias("blocks")))
-    sizes = contents.groupBy("host").agg(F.count("*").alias("contents"))
+    found = pages.join(frames, "host", "left").mapInArrow(_page_slots, _SLOTS)
+    first = F.min(F.struct("blocks", "slots")).alias("first")
+    contents = stage(found.groupBy("host", "content").agg(first).select("host", "first.*"))
+    sizes = contents.groupBy("host").agg(F.count("*").alias("host_contents"))
     shared = (
         contents.select("host", F.explode("blocks").alias("block"))
         .groupBy("host", "block")
-        .agg(F.count("*").alias("pages"))
-        .where(F.col("pages") >= REPEATED_PAGES)
+        .agg(F.count("*").alias("contents"))
+        .where(F.col("contents") >= REPEATED_PAGES)
         .join(sizes, "host")
-        .where(F.col("pages") > F.col("contents") * F.lit(SUPPORT))
+        .where(F.col("contents") > F.col("host_contents") * F.lit(SUPPORT))
         .groupBy("host")
         .agg(F.collect_list("block").alias("repeated"))  # at most twice the blocks of an average page
     )
-    return stage(containers.join(shared, "host", "left"))
-
-
-def main_text(page: str | None, container: str | None, repeated: list[int] | None) -> str:
-    found, marked = article_blocks(blocks(page or "")[1], container or "")
-    if not marked and repeated:
-        gone = set(repeated)
-        found = [block for block in found if _number(block) not in gone]
-    return " ".join(found)
+    decided = (
+        contents.select("host", F.inline("slots"))
+        .groupBy("host", "slot", "words", "marked")
+        .agg(
+            F.count("*").alias("contents"),
+            F.min("text").alias("least"),
+            F.max("text").alias("most"),
+            F.sum("chars").alias("chars"),
+        )
+        .join(sizes, "host")
+        .where(F.col("contents") >= F.col("host_contents") * F.lit(SUPPORT))
+        .groupBy("host", "host_contents")
+        .agg(F.collect_list(F.struct("slot", "words", "marked", "contents", "least", "most", "chars")).alias("slots"))
+        .mapInArrow(_decided_rows, "host string, container string, fixed array<string>")
+    )
+    return stage(frames.join(decided, "host", "left").join(shared, "host", "left"))
+
+
+def main_text(
+    page: str | None,
+    frame: list[int] | None,
+    container: str | None,
+    fixed: list[str] | None,
+    repeated: list[int] | None,
+) -> str:
+    found, marked = article_blocks(blocks(page or "")[1])
+    gone, same = set(repeated or []), set(fixed or [])
+    if not marked:
+        found = [p for p in found if not p[0].words]
+        found = [p for p in found if _below(p[0].path, container or "")] or found
+    if gone or same:
+        slots = slots_of(found, set(frame or []))
+        found = [p for s, p in zip(slots, found, strict=True) if s not in same and _number(p[1]) not in gone]
+    return " ".join(block for _, block in found)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """`pages` (with url and html) with `text` and `n_chars` (its code points)."""
 
     @F.arrow_udf("string")
-    def text_of(html: pa.Array, container: pa.Array, repeated: pa.Array) -> pa.Array:
-        rows = zip(html, container, repeated, strict=True)
+    def text_of(html: pa.Array, frame: pa.Array, container: pa.Array, fixed: pa.Array, repeated: pa.Array) -> pa.Array:
+        rows = zip(html, frame, container, fixed, repeated, strict=True)
         return pa.array([main_text(*(x.as_py() for x in row)) for row in rows], pa.string())
 
     rows = wrapped(pages, host_of().alias("host"), F.monotonically_increasing_id().alias("page"), "html")
     found = rows.drop("page").join(templates(rows.drop("row")), "host", "left")
-    text = found.withColumn("text", text_of("html", "container", "repeated"))
+    text = found.withColumn("text", text_of("html", "frame", "container", "fixed", "repeated"))
     return unwrapped(text.withColumn("n_chars", F.char_length("text").cast("bigint")), *RESULT)

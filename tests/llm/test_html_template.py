@@ -67,6 +67,29 @@ def test_copies_of_one_article_are_no_template(spark):
     assert extracted(spark, rows[:1] * 6) == {0: "Always here Title 0 Words of story 0, and some more"}
 
 
+def test_template_text_inside_a_marked_article(spark):
+    page = (
+        "<html><body><article><h1>Title {i}</h1><p>First {i}<p>Read our magazine<p>Second {i}</article>"
+        "<p>Not marked {i}</body></html>"
+    )
+    got = extracted(spark, [(i, f"http://t.example/{i}", page.format(i=i)) for i in range(5)])
+    assert got == {i: f"Title {i} First {i} Second {i}" for i in range(5)}
+
+
+def test_classes_of_equal_vectors_make_the_frame():
+    def found(pages, total, vector, only, *tokens):
+        return dict(host_pages=4, pages=pages, total=total, vector=str(vector), set=str(only), tokens=[{"token": t} for t in tokens])
+
+    everywhere = found(4, 4, 100, 100, ">html", ">html>body")
+    twice = found(4, 8, 200, 100, ">html>body>div")  # twice on each page
+    uneven = found(4, 8, 230, 100, ">html>body>p")  # eight times, but not twice on each
+    small = found(2, 2, 40, 40, ">html>body>h2")
+    large = found(2, 2, 60, 60, ">html>body>ul", ">html>body>ul>li", ">html>body>ul>li>a")
+    loose = found(4, 4, 100, 100, ">html>body>p>b")  # below no token of the frame
+    frame = ht.frame_of([everywhere, twice, uneven, small, large, loose])
+    assert frame == {"", ">html", ">html>body", ">html>body>div", ">html>body>ul", ">html>body>ul>li", ">html>body>ul>li>a"}
+
+
 def test_equivalence_classes(spark):
     rows = [(f"<html><body><h1>a</h1><ul>{'<li>x' * n}</ul></body></html>", n) for n in (1, 2, 3, 2)]
     pages = spark.createDataFrame([("h", n, i, p) for i, (p, n) in enumerate(rows)], "host string, n int, page bigint, html string")
