@@ -15,7 +15,8 @@ the host; tokens with equal vectors form an equivalence class.
   contents, belong to the template, also inside an article.
 * Tags, roles and the words of class and id only pick among slots: menus, headers, footers, sidebars, notices,
   adverts, forms, scripts, styles and reader comments are dropped with all below them; a page that marks its
-  article (article, main, or the role or property of either) keeps what it marks, also below a class word.
+  article (article, main, or the role or property of either) keeps what it marks, also below a class word. A
+  class word other than one for comments is overruled where it marks most of the differing text.
   Other pages take the container of the differing text.
 
 Text is decoded, white space inside a block becomes one space, and blocks are joined in page order.
@@ -356,12 +357,12 @@ def _page_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("host", "html", "frame")
         for host, page, frame in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
             found, marked = article_blocks(blocks(page or "")[1])
-            texts: dict[str, list[str]] = {}
-            for slot, (_, block) in zip(slots_of(found, set(frame or [])), found, strict=True):
-                texts.setdefault(slot, []).append(block)
+            texts: dict[tuple[str, str], list[str]] = {}
+            for slot, (e, block) in zip(slots_of(found, set(frame or [])), found, strict=True):
+                texts.setdefault((slot, e.words[-1] if e.words else ""), []).append(block)
             slots = [
-                {"slot": k, "words": _is_word(k), "marked": marked, "text": _number("\n".join(v)), "chars": sum(map(len, v))}
-                for k, v in sorted(texts.items())
+                {"slot": k, "words": w, "marked": marked, "text": _number("\n".join(v)), "chars": sum(map(len, v))}
+                for (k, w), v in sorted(texts.items())
             ]
             whole = _number("\n".join(block for _, block in found))
             row = (host, whole, [_number(b) for b in dict.fromkeys(b for _, b in found)], slots)
@@ -372,23 +373,19 @@ def _page_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _is_word(slot: str) -> bool:
-    return slot.endswith("#0")
-
-
 _SLOT_TYPES = [
     pa.string(),
     pa.int64(),
     pa.list_(pa.int64()),
     pa.list_(
         pa.struct(
-            [("slot", pa.string()), ("words", pa.bool_()), ("marked", pa.bool_()), ("text", pa.int64()), ("chars", pa.int64())]
+            [("slot", pa.string()), ("words", pa.string()), ("marked", pa.bool_()), ("text", pa.int64()), ("chars", pa.int64())]
         )
     ),
 ]
 _SLOTS = (
     "host string, content bigint, blocks array<bigint>, "
-    "slots array<struct<slot:string,words:boolean,marked:boolean,text:bigint,chars:bigint>>"
+    "slots array<struct<slot:string,words:string,marked:boolean,text:bigint,chars:bigint>>"
 )
 
 
@@ -413,16 +410,29 @@ def article_container(slots: list[dict]) -> str:
     return max((p for p in chars if chars[p] >= MOST * most), key=lambda p: (p.count(">"), chars[p], p), default="")
 
 
-def decide(contents: int, slots: list[dict]) -> tuple[str, list[str]]:
-    """(container, fixed): where the unmarked article of a host is, and the slots that hold template text.
+def lifted_words(slots: list[dict]) -> str:
+    """The path of the element that holds more differing text than all slots without a word, if a word marks it."""
+    chars: Counter = Counter()
+    for s in slots:
+        chars[s["words"]] += s["chars"]
+    other = chars.pop("", 0)
+    path = max(chars, key=lambda p: (chars[p], p), default="")
+    return path if chars[path] > other else ""
+
+
+def decide(contents: int, slots: list[dict]) -> tuple[str, str, list[str]]:
+    """(container, lifted, fixed): where the unmarked article of a host is, the element down to which class
+    words do not count since the main slot is in it, and the slots that hold template text.
 
     `slots` are those in at least `SUPPORT` of the host's different contents. A slot is fixed if its text
     is the same everywhere; with few contents only outside the container, where chance counts less.
     """
     fixed = [s for s in slots if contents > 1 and s["least"] == s["most"] and s["contents"] > SUPPORT * contents]
     names = {s["slot"] for s in fixed}
-    container = article_container([s for s in slots if not s["marked"] and not s["words"] and s["slot"] not in names])
-    return container, sorted(
+    differing = [s for s in slots if not s["marked"] and s["slot"] not in names]
+    lifted = lifted_words(differing)
+    container = article_container([s for s in differing if _below(lifted, s["words"])])
+    return container, lifted, sorted(
         s["slot"]
         for s in fixed
         if s["contents"] >= REPEATED_PAGES or not s["marked"] and not _below(_path(s["slot"]), container)
@@ -432,10 +442,10 @@ def decide(contents: int, slots: list[dict]) -> tuple[str, list[str]]:
 def _decided_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [(r["host"], *decide(r["host_contents"], r["slots"])) for r in batch.to_pylist()]
-        columns = [[r[i] for r in rows] for i in range(3)]
-        types = [pa.string(), pa.string(), pa.list_(pa.string())]
+        columns = [[r[i] for r in rows] for i in range(4)]
+        types = [pa.string(), pa.string(), pa.string(), pa.list_(pa.string())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["host", "container", "fixed"]
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["host", "container", "lifted", "fixed"]
         )
 
 
@@ -478,7 +488,7 @@ def templates(pages: DataFrame) -> DataFrame:
         .where(F.col("contents") >= F.col("host_contents") * F.lit(SUPPORT))
         .groupBy("host", "host_contents")
         .agg(F.collect_list(F.struct("slot", "words", "marked", "contents", "least", "most", "chars")).alias("slots"))
-        .mapInArrow(_decided_rows, "host string, container string, fixed array<string>")
+        .mapInArrow(_decided_rows, "host string, container string, lifted string, fixed array<string>")
     )
     return stage(frames.join(decided, "host", "left").join(shared, "host", "left"))
 
@@ -487,13 +497,14 @@ def main_text(
     page: str | None,
     frame: list[int] | None,
     container: str | None,
+    lifted: str | None,
     fixed: list[str] | None,
     repeated: list[int] | None,
 ) -> str:
     found, marked = article_blocks(blocks(page or "")[1])
     gone, same = set(repeated or []), set(fixed or [])
     if not marked:
-        found = [p for p in found if not p[0].words]
+        found = [p for p in found if all(_below(lifted or "", w) for w in p[0].words)]
         found = [p for p in found if _below(p[0].path, container or "")] or found
     if gone or same:
         slots = slots_of(found, set(frame or []))
@@ -505,11 +516,13 @@ def extract(pages: DataFrame) -> DataFrame:
     """`pages` (with url and html) with `text` and `n_chars` (its code points)."""
 
     @F.arrow_udf("string")
-    def text_of(html: pa.Array, frame: pa.Array, container: pa.Array, fixed: pa.Array, repeated: pa.Array) -> pa.Array:
-        rows = zip(html, frame, container, fixed, repeated, strict=True)
+    def text_of(
+        html: pa.Array, frame: pa.Array, container: pa.Array, lifted: pa.Array, fixed: pa.Array, repeated: pa.Array
+    ) -> pa.Array:
+        rows = zip(html, frame, container, lifted, fixed, repeated, strict=True)
         return pa.array([main_text(*(x.as_py() for x in row)) for row in rows], pa.string())
 
     rows = wrapped(pages, host_of().alias("host"), F.monotonically_increasing_id().alias("page"), "html")
     found = rows.drop("page").join(templates(rows.drop("row")), "host", "left")
-    text = found.withColumn("text", text_of("html", "frame", "container", "fixed", "repeated"))
+    text = found.withColumn("text", text_of("html", "frame", "container", "lifted", "fixed", "repeated"))
     return unwrapped(text.withColumn("n_chars", F.char_length("text").cast("bigint")), *RESULT)

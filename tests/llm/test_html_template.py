@@ -90,6 +90,27 @@ def test_classes_of_equal_vectors_make_the_frame():
     assert frame == {"", ">html", ">html>body", ">html>body>div", ">html>body>ul", ">html>body>ul>li", ">html>body>ul>li>a"}
 
 
+@pytest.mark.parametrize(
+    "box",
+    [
+        "<article class='post has-sidebar'>{}</article>",
+        "<main class='no-header'>{}</main>",
+        "<div class='content-with-sidebar'>{}</div>",
+        "<div id=comment-free><div class='no-menu'><article>{}</article></div></div>",
+        "<main><div class='content-with-sidebar'><article>{}</article></div></main>",
+    ],
+)
+def test_class_words_do_not_overrule_the_article(spark, box):
+    story = (
+        "<header class='entry-header'><h1>Title {i}</h1></header><p>Words of story {i}, and more</p>"
+        if "article" in box
+        else "<h1>Title {i}</h1><p>Words of story {i}, and more</p>"
+    )
+    page = f"<body>{box.format(story + '<div class=share>Share {i}</div>')}<div class=sidebar>Side {{i}}</div></body>"
+    got = extracted(spark, [(i, f"http://w.example/{i}", page.format(i=i)) for i in range(5)])
+    assert got == {i: f"Title {i} Words of story {i}, and more" for i in range(5)}
+
+
 def test_equivalence_classes(spark):
     rows = [(f"<html><body><h1>a</h1><ul>{'<li>x' * n}</ul></body></html>", n) for n in (1, 2, 3, 2)]
     pages = spark.createDataFrame([("h", n, i, p) for i, (p, n) in enumerate(rows)], "host string, n int, page bigint, html string")
