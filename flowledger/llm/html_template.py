@@ -17,7 +17,8 @@ the host; tokens with equal vectors form an equivalence class.
   adverts, forms, scripts, styles and reader comments are dropped with all below them; a page that marks its
   article (article, main, or the role or property of either) keeps what it marks, also below a class word. A
   class word other than one for comments is overruled where it marks most of the differing text.
-  Other pages take the container of the differing text.
+  Other pages take all slots whose text differs; hosts with few contents also take what is the same in the
+  lowest common container of those.
 
 Text is decoded, white space inside a block becomes one space, and blocks are joined in page order.
 
@@ -42,7 +43,6 @@ from flowledger.llm.common import unwrapped, wrapped
 from flowledger.operators.numbering import stage
 
 SUPPORT = 0.5  # share of a host's pages a template token occurs in, and of its contents a template block
-MOST = 0.6  # share of the differing text the container of the article holds
 SIZE = 3  # roles in a class that is not on every page, at least
 REPEATED_PAGES = 4  # a block must return in that many contents at least to belong to the template
 
@@ -398,16 +398,16 @@ def _below(path: str, container: str) -> bool:
 
 
 def article_container(slots: list[dict]) -> str:
-    """The deepest container of most of the differing text, of a host whose pages mark no article."""
-    chars: Counter = Counter()
-    for s in slots:
-        path = _path(s["slot"])
-        while path:
-            if _is_container(path):
-                chars[path] += s["chars"]
-            path = path.rpartition(">")[0]
-    most = max(chars.values(), default=0)
-    return max((p for p in chars if chars[p] >= MOST * most), key=lambda p: (p.count(">"), chars[p], p), default="")
+    """The lowest common container of all differing slots, of a host whose pages mark no article."""
+    paths = [_path(s["slot"]).split(">") for s in slots]
+    common = []
+    for level in zip(*paths):
+        if len(set(level)) > 1:
+            break
+        common.append(level[0])
+    while common and not _is_container(">".join(common)):
+        common.pop()
+    return ">".join(common)
 
 
 def lifted_words(slots: list[dict]) -> str:
@@ -421,8 +421,8 @@ def lifted_words(slots: list[dict]) -> str:
 
 
 def decide(contents: int, slots: list[dict]) -> tuple[str, str, list[str]]:
-    """(container, lifted, fixed): where the unmarked article of a host is, the element down to which class
-    words do not count since the main slot is in it, and the slots that hold template text.
+    """(lifted, fixed): the element down to which class words do not count since the main slot is in it, and
+    the slots that hold template text.
 
     `slots` are those in at least `SUPPORT` of the host's different contents. A slot is fixed if its text
     is the same everywhere; with few contents only outside the container, where chance counts less.
@@ -432,7 +432,7 @@ def decide(contents: int, slots: list[dict]) -> tuple[str, str, list[str]]:
     differing = [s for s in slots if not s["marked"] and s["slot"] not in names]
     lifted = lifted_words(differing)
     container = article_container([s for s in differing if _below(lifted, s["words"])])
-    return container, lifted, sorted(
+    return lifted, sorted(
         s["slot"]
         for s in fixed
         if s["contents"] >= REPEATED_PAGES or not s["marked"] and not _below(_path(s["slot"]), container)
@@ -442,15 +442,15 @@ def decide(contents: int, slots: list[dict]) -> tuple[str, str, list[str]]:
 def _decided_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [(r["host"], *decide(r["host_contents"], r["slots"])) for r in batch.to_pylist()]
-        columns = [[r[i] for r in rows] for i in range(4)]
-        types = [pa.string(), pa.string(), pa.string(), pa.list_(pa.string())]
+        columns = [[r[i] for r in rows] for i in range(3)]
+        types = [pa.string(), pa.string(), pa.list_(pa.string())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["host", "container", "lifted", "fixed"]
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["host", "lifted", "fixed"]
         )
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per host: its frame, where the article is, its slots of template text, and blocks most contents share.
+    """Per host: its frame, the class words to overrule, its slots of template text, and blocks most contents share.
 
     Copies of one content count once, else the article that most pages copy would be taken for template.
     """
@@ -488,7 +488,7 @@ def templates(pages: DataFrame) -> DataFrame:
         .where(F.col("contents") >= F.col("host_contents") * F.lit(SUPPORT))
         .groupBy("host", "host_contents")
         .agg(F.collect_list(F.struct("slot", "words", "marked", "contents", "least", "most", "chars")).alias("slots"))
-        .mapInArrow(_decided_rows, "host string, container string, lifted string, fixed array<string>")
+        .mapInArrow(_decided_rows, "host string, lifted string, fixed array<string>")
     )
     return stage(frames.join(decided, "host", "left").join(shared, "host", "left"))
 
@@ -496,7 +496,6 @@ def templates(pages: DataFrame) -> DataFrame:
 def main_text(
     page: str | None,
     frame: list[int] | None,
-    container: str | None,
     lifted: str | None,
     fixed: list[str] | None,
     repeated: list[int] | None,
@@ -505,7 +504,6 @@ def main_text(
     gone, same = set(repeated or []), set(fixed or [])
     if not marked:
         found = [p for p in found if all(_below(lifted or "", w) for w in p[0].words)]
-        found = [p for p in found if _below(p[0].path, container or "")] or found
     if gone or same:
         slots = slots_of(found, set(frame or []))
         found = [p for s, p in zip(slots, found, strict=True) if s not in same and _number(p[1]) not in gone]
@@ -516,13 +514,11 @@ def extract(pages: DataFrame) -> DataFrame:
     """`pages` (with url and html) with `text` and `n_chars` (its code points)."""
 
     @F.arrow_udf("string")
-    def text_of(
-        html: pa.Array, frame: pa.Array, container: pa.Array, lifted: pa.Array, fixed: pa.Array, repeated: pa.Array
-    ) -> pa.Array:
-        rows = zip(html, frame, container, lifted, fixed, repeated, strict=True)
+    def text_of(html: pa.Array, frame: pa.Array, lifted: pa.Array, fixed: pa.Array, repeated: pa.Array) -> pa.Array:
+        rows = zip(html, frame, lifted, fixed, repeated, strict=True)
         return pa.array([main_text(*(x.as_py() for x in row)) for row in rows], pa.string())
 
     rows = wrapped(pages, host_of().alias("host"), F.monotonically_increasing_id().alias("page"), "html")
     found = rows.drop("page").join(templates(rows.drop("row")), "host", "left")
-    text = found.withColumn("text", text_of("html", "frame", "container", "lifted", "fixed", "repeated"))
+    text = found.withColumn("text", text_of("html", "frame", "lifted", "fixed", "repeated"))
     return unwrapped(text.withColumn("n_chars", F.char_length("text").cast("bigint")), *RESULT)

@@ -111,6 +111,18 @@ def test_class_words_do_not_overrule_the_article(spark, box):
     assert got == {i: f"Title {i} Words of story {i}, and more" for i in range(5)}
 
 
+@pytest.mark.parametrize("pages", [1, 2, 6])
+def test_all_differing_slots_are_taken(spark, pages):
+    page = (
+        "<html><body><p>Always on top</p><div class=story><h1>Title {i}</h1><div class=text><div class=a><p>{long}</p></div>"
+        "<div class=b><p>The rest of {i}</p></div></div></div></body></html>"
+    )
+    long = [f"Words of story {i} " * 5 for i in range(pages)]
+    got = extracted(spark, [(i, f"http://s.example/{i}", page.format(i=i, long=long[i])) for i in range(pages)])
+    top = "Always on top " if pages == 1 else ""  # one page does not tell
+    assert got == {i: f"{top}Title {i} {long[i]}The rest of {i}" for i in range(pages)}
+
+
 def test_equivalence_classes(spark):
     rows = [(f"<html><body><h1>a</h1><ul>{'<li>x' * n}</ul></body></html>", n) for n in (1, 2, 3, 2)]
     pages = spark.createDataFrame([("h", n, i, p) for i, (p, n) in enumerate(rows)], "host string, n int, page bigint, html string")
