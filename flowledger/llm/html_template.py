@@ -46,7 +46,7 @@ SUPPORT = 0.5  # share of a host's pages a template token occurs in, and of its
 SIZE = 3  # roles in a class that is not on every page, at least
 REPEATED_PAGES = 4  # a block must return in that many contents at least to belong to the template
 
-DEPTH = 512  # elements nested deeper than browsers do count as siblings; their text stays
+DEPTH = 512  # paths end there; elements nested deeper than browsers do have the path of the last
 
 RESULT = ["text", "n_chars"]
 
@@ -89,6 +89,7 @@ _ARTICLE_TAGS = frozenset(["article", "main"])
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
 )
+_NEXT_BLOCK = re.compile(f"</?(?:{'|'.join(sorted(_BLOCKS - {'option'}))})(?=[\\s/>])", re.I)
 _ATTRIBUTE = re.compile(r"([\w-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 _WORD = re.compile(r"[a-z]+")
 # Flags of a path: an article; beside it by tag or role; beside it by a word of a class or id, and by one for
@@ -100,10 +101,12 @@ class _Element:
     """An open element: its path and which of that path on the page it is, whether the path leads into an
     article or beside it, the paths of the elements on it whose words say beside, and the element above."""
 
-    __slots__ = ("tag", "path", "number", "flags", "words", "above")
+    __slots__ = ("tag", "path", "number", "flags", "words", "above", "holder")
 
     def __init__(self, tag: str, path: str, number: int, flags: int, words: tuple[str, ...], above: _Element | None):
         self.tag, self.path, self.number, self.flags, self.words, self.above = tag, path, number, flags, words, above
+        # inline elements do not tell blocks apart
+        self.holder: _Element = self if above is None or tag in _BLOCKS else above.holder
 
 
 def _marks(tag: str, rest: str) -> tuple[str, int, bool]:
@@ -148,6 +151,7 @@ def blocks(page: str) -> tuple[Counter, list[tuple[_Element, str]]]:
     found: list[tuple[_Element, str]] = []
     root = _Element("", "", 1, 0, (), None)
     open_, text, at = [root], [], 0
+    opened: Counter = Counter()  # open elements by tag
     known: dict[tuple[str, str], tuple[str, int, bool]] = {}
 
     def end_block():
@@ -155,13 +159,14 @@ def blocks(page: str) -> tuple[Counter, list[tuple[_Element, str]]]:
             block = " ".join(entities.unescape("".join(text)).split())
             text.clear()
             if block:
-                # inline elements do not tell blocks apart
-                holder = next((e for e in reversed(open_) if e.tag in _BLOCKS), root)
-                found.append((holder, block))
+                found.append((open_[-1].holder, block))
 
     def close(tags: frozenset, stop: frozenset):
+        if not any(opened[t] for t in tags):
+            return
         for i in range(len(open_) - 1, 0, -1):
             if open_[i].tag in tags:
+                opened.subtract(e.tag for e in open_[i:])
                 del open_[i:]
                 return
             if open_[i].tag in stop:
@@ -182,8 +187,7 @@ def blocks(page: str) -> tuple[Counter, list[tuple[_Element, str]]]:
         if token[1]:
             if tag in _BLOCKS:
                 end_block()
-            if any(e.tag == tag for e in open_):
-                close(frozenset([tag]), frozenset())
+            close(frozenset([tag]), frozenset())
             continue
         if tag in _BLOCKS:
             end_block()
@@ -210,10 +214,17 @@ def blocks(page: str) -> tuple[Counter, list[tuple[_Element, str]]]:
             continue
         if tag in _RAW:  # what it holds is no markup
             end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
+            if end is None and tag in ("svg", "select"):  # never closed: ends where page text goes on
+                end = _NEXT_BLOCK.search(page, at)
+                at = end.start() if end else size
+                continue
             at = end.end() if end else size
             continue
+        opened[tag] += 1
         if len(open_) < DEPTH:
             open_.append(_Element(tag, path, tokens[path], flags, words, above))
+        else:  # a path that grew no further; end tags and marks count at any depth
+            open_.append(_Element(tag, above.path, above.number, flags, words, above))
     end_block()
     return tokens, found
 

@@ -123,6 +123,23 @@ def test_all_differing_slots_are_taken(spark, pages):
     assert got == {i: f"{top}Title {i} {long[i]}The rest of {i}" for i in range(pages)}
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>One<svg><path d=x><p>Two</article>", "One Two"),
+        ("<article>One<select><option>No<option>None<p>Two</article>", "One Two"),
+        ("<article>One<svg><path d=x></svg> two<select><option>No</select> three</article>", "One two three"),
+        ("<article>" + "<div>" * 1000 + "One" + "</div>" * 1000 + "<p>Two</article>", "One Two"),
+        ("<div><article>" + "<div>" * 600 + "One" + "</div>" * 600 + "<p>Two</article></div>Beside", "One Two"),
+        ("<div>" * 600 + "<article>One" + "</article>" + "</div>" * 600 + "<p>Beside", "One"),
+        ("<article>One" + "<article>" * 600 + "</article>" * 600 + " two</article>Beside", "One two"),
+        ("<b>" * 50000 + "<p>One" * 2000, " ".join(["One"] * 2000)),
+    ],
+)
+def test_unclosed_and_deep_elements(page, text):
+    assert ht.main_text(page, None, None, None, None) == text
+
+
 def test_equivalence_classes(spark):
     rows = [(f"<html><body><h1>a</h1><ul>{'<li>x' * n}</ul></body></html>", n) for n in (1, 2, 3, 2)]
     pages = spark.createDataFrame([("h", n, i, p) for i, (p, n) in enumerate(rows)], "host string, n int, page bigint, html string")
