@@ -5,9 +5,7 @@ raw corpus (in the manner of importance resampling by hashed n-gram features). A
 the mean over its n-grams of log(p_trusted / p_raw); it is kept if the mean is not below a fixed
 threshold. No randomness is involved, and each document is judged by its whole text.
 
-The n-grams are those of word endings (the last three characters of each word, alone and with the
-ending of the next word): endings carry attached symbols, shouting and list marks, and their number
-stays small enough that a bounded table separates frequent from rare ones.
+The n-grams are whole words and pairs of neighbouring words, hashed with all their characters.
 
 Everything is DataFrame and SQL functions. The per-document counts are array functions inside one row,
 so no text is shuffled; only bucket counts (at most `BUCKETS` rows per task) are.
@@ -24,7 +22,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from flowledger.llm.common import SPACE_CHARS, free_name, text_of, word_list
 
 BUCKETS = 1 << 14  # hashed n-gram space; also the bound of the table each task holds
-ENDING = 3  # characters of a word that enter its n-grams
 TRUSTED_ROWS = 20_000  # bound of the sample of labelled documents the trusted multinomial is fitted on
 SMOOTHING = 1.0  # added to every bucket of both multinomials
 THRESHOLD = -0.2  # lowest mean log-likelihood ratio (nats per n-gram) that is kept
@@ -44,12 +41,11 @@ def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
-def with_endings(df: DataFrame, words: str) -> tuple[DataFrame, str, str]:
-    """Add the ending of each word and, beside it, that of the next word (null after the last)."""
-    this, following = free_name(df, "_ending"), free_name(df, "_next")
-    df = df.withColumn(this, F.transform(words, lambda w: F.right(w, F.lit(ENDING))))
-    rest = F.slice(this, F.lit(2), F.greatest(F.size(this) - 1, F.lit(0)))
-    return df.withColumn(following, rest), this, following
+def with_next(df: DataFrame, words: str) -> tuple[DataFrame, str]:
+    """Add, beside each word, the next one (the list ends one word earlier)."""
+    following = free_name(df, "_next")
+    rest = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
+    return df.withColumn(following, rest), following
 
 
 def _bucket(*parts, buckets: int) -> Column:
@@ -125,10 +121,10 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> li
     trusted = F.broadcast(trusted.select(F.col("doc_id").alias("_trusted_id")))  # <= TRUSTED_ROWS ids
     words = docs.select("doc_id", word_list(text_of("text")).alias("_words"))
     flagged = words.join(trusted, F.col("doc_id") == F.col("_trusted_id"), "left")
-    ended, this, following = with_endings(flagged, "_words")
-    ngrams = ended.select(
+    paired, following = with_next(flagged, "_words")
+    ngrams = paired.select(
         F.col("_trusted_id").isNotNull().cast("bigint").alias("_in"),
-        F.explode(F.arrays_zip(F.col(this).alias("a"), F.col(following).alias("b"))).alias("g"),
+        F.explode(F.arrays_zip(F.col("_words").alias("a"), F.col(following).alias("b"))).alias("g"),
     )
     a, b = F.col("g.a"), F.col("g.b")
     both = F.array(_bucket(a, buckets=buckets), F.when(b.isNotNull(), _bucket(a, b, buckets=buckets)))
@@ -165,12 +161,12 @@ def with_mean_ratio(df: DataFrame, words: str, ratio: list[float], out: str) ->
         alone = F.get(constant, _bucket(a, buckets=n))
         return F.when(b.isNull(), alone).otherwise(alone + F.get(constant, _bucket(a, b, buckets=n)))
 
-    df, this, following = with_endings(df, words)
+    df, following = with_next(df, words)
     total = F.aggregate(
-        F.zip_with(this, following, at), F.lit(0.0), lambda acc, x: acc + x
+        F.zip_with(words, following, at), F.lit(0.0), lambda acc, x: acc + x
     )
     mean = F.when(F.size(words) > 0, total / (2 * F.size(words) - 1))
-    return df.withColumn(out, mean).drop(this, following)
+    return df.withColumn(out, mean).drop(following)
 
 
 def judge(
