@@ -24,21 +24,24 @@ def stage(df: DataFrame, path: str | None = None, *partition_by: str) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def number_rows(df: DataFrame, name: str, start: int = 0) -> DataFrame:
-    """Add `name` = start+1, start+2, ... in the present row order of `df` (sort it first if it matters)."""
-    return with_row_number(stage(with_place(df)), name, start)
+def number_rows(df: DataFrame, name: str, start: int = 0, write=stage) -> DataFrame:
+    """Add `name` = start+1, start+2, ... in the present row order of `df` (sort it first if it matters).
+
+    `write` writes a result and reads it again, here and below: a caller may give its own to delete it later.
+    """
+    return with_row_number(write(with_place(df)), name, start, write)
 
 
 def with_place(df: DataFrame) -> DataFrame:
     return df.withColumn(PLACE, F.monotonically_increasing_id())
 
 
-def with_row_number(placed: DataFrame, name: str, start: int = 0) -> DataFrame:
+def with_row_number(placed: DataFrame, name: str, start: int = 0, write=stage) -> DataFrame:
     """The second half of `number_rows`, for rows that are already written with their place."""
     part = F.shiftright(F.col(PLACE), _PLACE_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stage(
+    offsets = write(
         sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     place = F.col(PLACE).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
@@ -50,14 +53,14 @@ def with_row_number(placed: DataFrame, name: str, start: int = 0) -> DataFrame:
     )
 
 
-def number_within_files(df: DataFrame, file: str, block: str, name: str) -> DataFrame:
+def number_within_files(df: DataFrame, file: str, block: str, name: str, write=stage) -> DataFrame:
     """1..n per file for rows read in splits: place within the split plus the rows of earlier splits."""
-    placed = stage(with_place(df))
+    placed = write(with_place(df))
     blocks = placed.groupBy(file, block).agg(
         F.count("*").alias("_rows"), F.min(PLACE).alias("_first")
     )
     before = Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stage(
+    offsets = write(
         blocks.select(
             file, block, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
         )
