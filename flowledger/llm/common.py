@@ -74,3 +74,13 @@ class Steps:
         for path in self.paths[:cut]:
             remove(self.spark, path)
         self.paths = self.paths[cut:]
+
+
+def crc32_sql(digits: str) -> str:
+    """DuckDB expression for the unsigned CRC-32 of bytes given as hexadecimal text."""
+    octets = f"list_transform(range(length({digits}) // 2), lambda i: ('0x' || substr({digits}, 2 * i + 1, 2))::UBIGINT)"
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))"
+    return (
+        f"xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, {octets}), "
+        f"lambda c, b: {step}))::BIGINT"
+    )

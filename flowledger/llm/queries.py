@@ -11,14 +11,18 @@ from flowledger.llm import (
     chat_format,
     class_lm,
     html_template,
+    merkle,
     mixing,
     quality_rules as rules,
     sharding,
     simhash,
+    spelling,
     suffix_dedup,
+    token_files,
     vector_topk,
 )
 from flowledger.llm.common import table
+from flowledger.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +87,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_sizes(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.checked_proofs(table(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write(table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"))
+    return token_files.digests(files)
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_html_template,
@@ -95,6 +112,9 @@ def queries() -> dict[str, Query]:
         op8_simhash_near_dedup,
         op9_exact_top_k,
         op10_sharding,
+        op11_spelling_variants,
+        op12_merkle_manifest,
+        op13_token_files,
     ]
     return {f.__name__: f for f in found}
 
@@ -105,4 +125,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_mixing": mixing.ORACLE_SQL,
         "op9_exact_top_k": vector_topk.ORACLE_SQL,
         "op10_sharding": sharding.oracle_sql(),
+        "op11_spelling_variants": spelling.oracle_sql(),
+        "op12_merkle_manifest": merkle.oracle_sql(),
     }
