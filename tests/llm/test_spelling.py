@@ -144,7 +144,7 @@ def test_roots_of_long_chains(spark):
 
 def test_odd_rows_ties_and_clashing_names(spark):
     rows = odd_rows() + [
-        (None, "Sample SAMPLE sample", "en", "s", 1),
+        (62, "Sample SAMPLE sample", "en", "s", 1),
         (60, "simple simple simple\n" * 3, None, None, None),
         (60, "simple simple simple\n" * 3, None, None, None),
         (61, "samplé×samplé÷samplé " + "tample " * 18, "en", "s", 1),
