@@ -1,7 +1,7 @@
 """Token ids in binary files: independent zstandard frames, a trailing seek table, a checksum per frame.
 
-Texts are encoded in tasks, sorted by document id across the cluster, and written by many tasks side by
-side. A file is a sequence of frames in the public seekable zstandard format:
+Rows are sorted by document id across the cluster; each task encodes its range of them and writes it to
+files of its own, so texts are shuffled once and ids never. A file is a sequence of frames in the public seekable zstandard format:
 
 * data frames: the ids of one document as little-endian unsigned 32-bit integers. A document has frames
   of its own, so a reader decompresses only what was asked for; one of more than `FRAME_IDS` ids has
@@ -19,10 +19,11 @@ row of it, is never read, and is deleted at the end.
 Encoding: `words_apart` says that the tokenizer drops white space before it looks for tokens, as the given
 one does. Then words between ASCII white space are encoded independently of one another, and a worker
 encodes a word once and remembers its ids (a bounded number of words, in two generations). Without it
-every text goes to the tokenizers library in one piece.
+every text goes to the tokenizers library in one piece. `docs` should be read from files, as a pipeline
+stage is: a retried task then meets the same rows in the same order, which spreads equal rows alike.
 
 Edge cases: null and empty texts have the end id alone; null ids come first, repeated ids are ordered by a
-hash of their ids (equal rows are interchangeable); strings of special tokens inside a text become those
+hash of their texts (equal rows are interchangeable); strings of special tokens inside a text become those
 tokens, as in the library; a very long text is encoded in pieces cut at white space; an empty table gives
 no files; other columns, whatever their names, are not stored. A frame that does not match its checksum
 raises `DamagedFile`.
@@ -30,12 +31,14 @@ raises `DamagedFile`.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import struct
 import uuid
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -44,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from flowledger.llm.common import Steps
-from flowledger.operators.numbering import PLACE, stage, with_place
+from flowledger.operators.numbering import stage
 from flowledger.sources.files import child_names, make_folder, remove
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -54,12 +57,11 @@ FRAME_IDS = 1 << 16  # ids of a data frame at most
 FILE_BYTES = 1 << 28  # a file is closed once it is this long, so that reading it back is one task's work
 FILE_DOCUMENTS = 1 << 20  # or holds this many documents
 READ_BYTES = 1 << 22  # neighbouring frames are fetched together up to this many bytes
-LEVEL = 1  # of compression
+LEVEL = 3  # of compression
 
 PIECE_BYTES = 1 << 20  # text a worker cuts into words at a time
-KNOWN_WORDS = 250_000  # words whose ids a worker remembers, twice
-KNOWN_BYTES = 64  # longest word that is remembered
-WORDS_A_CALL = 4000  # unknown words that go to the library together
+KNOWN = 300_000  # words, and pieces of words, whose ids a worker remembers, twice
+KNOWN_LENGTH = 64  # longest of them
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE_SEEK_TABLE = 0x184D2A5E
@@ -71,7 +73,6 @@ FOOTER = struct.Struct("<IBI")
 SKIPPABLE_HEADER = struct.Struct("<II")
 
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
-_BETWEEN = "\x00"  # stands between words of one call; words that hold it are encoded alone
 FILES = "_files"
 _FILE_COLUMNS = (
     "part int, number int, file string, n_docs bigint, n_ids bigint, n_frames bigint, n_bytes bigint, "
@@ -86,70 +87,87 @@ class DamagedFile(ValueError):
 # --- encoding ------------------------------------------------------------------------------------------
 
 
+class _Known(dict):
+    """Remembers results for short keys; when full, what was used since the last time stays at hand."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function, self.old = function, {}
+
+    def __missing__(self, key):
+        if len(key) > KNOWN_LENGTH:
+            return self.function(key)
+        if len(self) >= KNOWN:
+            self.old = dict(self)
+            self.clear()
+        value = self.old.get(key)
+        if value is None:
+            value = self.function(key)
+        self[key] = value
+        return value
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letters by which byte-level models know bytes: visible ones stand for themselves, the others
+    follow in order from code point 256 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = (b for b in range(256) if b not in visible)
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
 class Encoder:
-    """Ids of texts as packed bytes, from the tokenizers library."""
+    """Ids of texts as packed bytes, from the tokenizers library.
 
-    def __init__(self, path: str = TOKENIZER, words_apart: bool = True):
-        import os
+    Half of the library's time goes into cutting words into pieces. Where the tokenizer file says that
+    pieces are what its pattern finds in the lower-cased word (`_cut_by_pattern`), words of ASCII and the
+    letters \u00C0 to \u00FF are cut here with the file's own pattern, and only pieces not seen lately go to
+    the library's model. All other words, tokenizers and texts go through the whole library."""
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are what runs side by side
+    def __init__(self, path: str = TOKENIZER, words_apart: bool = True):
+        import regex
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are what runs side by side
         self.library = Tokenizer.from_file(path)
         self.words_apart = words_apart
-        self.known: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        between = self.library.encode(_BETWEEN, add_special_tokens=False).ids
-        self.between = between[0] if len(between) == 1 else None
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        self.plain = re.compile("[!-~\u00c0-\u00ff]+")
+        special = [re.escape(t["content"]) for t in settings["added_tokens"]]
+        self.special = re.compile("|".join(special) or "(?!)")
+        pattern = _cut_by_pattern(settings)
+        self.pattern = regex.compile(pattern) if pattern else None
+        self.byte_letters = _byte_letters()
+        self.known, self.pieces_known = _Known(self._word), _Known(self._piece)
 
     def whole(self, text: bytes) -> bytes:
         ids = self.library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _together(self, words: list[bytes]) -> list[bytes]:
-        """Ids of several words from one call; None stands between them in the result."""
-        text = f" {_BETWEEN} ".join([w.decode("utf-8", "replace") for w in words])
-        ids = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        cuts = (4 * np.flatnonzero(ids == self.between)).tolist()
-        if len(cuts) != len(words) - 1:
-            return [self.whole(w) for w in words]
-        packed = ids.tobytes()
-        return [packed[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(packed)], strict=True)]
-
-    def _learn(self, words: set[bytes]) -> list[bytes]:
-        """Make the ids of all words known; returns those to forget again."""
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.old, self.known, new = self.known, {}, words
-        alone, asked = [], []
-        for word in new:
-            if (ids := self.old.get(word)) is not None:
-                self.known[word] = ids
-            elif self.between is None or len(word) > KNOWN_BYTES or b"\x00" in word:
-                alone.append(word)
-            else:
-                asked.append(word)
-        for at in range(0, len(asked), WORDS_A_CALL):
-            part = asked[at : at + WORDS_A_CALL]
-            self.known.update(zip(part, self._together(part), strict=True))
-        self.known.update((word, self.whole(word)) for word in alone)
-        return [word for word in alone if len(word) > KNOWN_BYTES]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Packed ids of every text."""
+    def _piece(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.byte_letters)
+        return array("I", [t.id for t in self.library.model.tokenize(letters)]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        if self.pattern is None:
+            return self.whole(word)
+        text = word.decode("utf-8", "replace")
+        if not self.plain.fullmatch(text) or self.special.search(text):
+            return self.whole(word)
+        return b"".join(map(self.pieces_known.__getitem__, self.pattern.findall(text.lower())))
+
+    def encode(self, text: bytes) -> bytes:
+        """Packed ids of a text."""
         if not self.words_apart:
-            return [self.whole(t) for t in texts]
-        lists = [text.split() for text in texts]
-        passing = self._learn(set(chain.from_iterable(lists)))
-        packed = [b"".join(map(self.known.__getitem__, words)) for words in lists]
-        for word in passing:
-            del self.known[word]
-        return packed
+            return self.whole(text)
+        return b"".join(
+            [b"".join(map(self.known.__getitem__, piece.split())) for piece in self.pieces(text)]
+        )
 
     def pieces(self, text: bytes) -> Iterator[bytes]:
         """A text cut behind white space, in pieces of a bounded size where it has any."""
         at = 0
-        while self.words_apart and len(text) - at > PIECE_BYTES:
+        while len(text) - at > PIECE_BYTES:
             space = _SPACE.search(text, at + PIECE_BYTES)
             if space is None:
                 break
@@ -158,42 +176,30 @@ class Encoder:
         yield text[at:] if at else text
 
 
+def _cut_by_pattern(settings: dict) -> str | None:
+    """The pattern whose matches in a lower-cased word are the pieces its model sees as bytes, if the
+    tokenizer is of that kind: white space becomes a space, NFC and lower case, split by pattern, bytes."""
+    normal, cut = settings.get("normalizer") or {}, settings.get("pre_tokenizer") or {}
+    steps = [n["type"] for n in normal.get("normalizers", [])]
+    cuts = cut.get("pretokenizers", [])
+    if steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return None
+    space, (split, to_bytes) = normal["normalizers"][1], cuts
+    if (space["pattern"], space["content"]) != ({"Regex": r"\s+"}, " "):
+        return None
+    if (split["behavior"], split["invert"]) != ("Removed", True) or "Regex" not in split["pattern"]:
+        return None
+    if to_bytes["add_prefix_space"] or to_bytes["use_regex"] or settings["post_processor"]:
+        return None
+    return split["pattern"]["Regex"]
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str = TOKENIZER, words_apart: bool = True) -> Encoder:
     """The worker's own copy, loaded once."""
     return Encoder(path, words_apart)
 
 
-def packed_ids(text: str, path: str = TOKENIZER, end_id: int | None = END_ID, words_apart: bool = True):
-    """Column of the ids of column `text`, packed as little-endian unsigned 32-bit integers."""
-    end = b"" if end_id is None else struct.pack("<I", end_id)
-
-    @F.arrow_udf("binary")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = encoder(path, words_apart)
-        for texts in batches:
-            out, waiting, size = [], [], 0
-
-            def flush():
-                out.extend(ids + end for ids in own.encode(waiting))
-                waiting.clear()
-
-            for text in texts.cast(pa.binary()).fill_null(b""):
-                data = text.as_py()
-                if size + len(data) > PIECE_BYTES:
-                    flush()
-                    size = 0
-                if len(data) > PIECE_BYTES:
-                    out.append(b"".join(chain.from_iterable(own.encode([p]) for p in own.pieces(data))) + end)
-                else:
-                    waiting.append(data)
-                    size += len(data)
-            flush()
-            yield pa.array(out, pa.binary())
-
-    return encode(text)
-
-
 # --- one file ------------------------------------------------------------------------------------------
 
 
@@ -354,23 +360,24 @@ def write(
     """Encode `text` of every row and write the ids, by ascending `doc_id`, to files below `path`."""
     spark = docs.sparkSession
     steps = Steps(spark)
-    encoded = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        packed_ids("text", tokenizer, end_id, words_apart).alias("ids"),
-    )
-    # written with a place first: sampled, sorted and retried tasks all see the same rows
-    encoded = steps.stage(with_place(encoded.withColumn("tie", F.xxhash64("ids"))))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc(), F.col(PLACE).asc()]
-    ordered = encoded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+    # equal rows may be a large share of all: the last key spreads them
+    keyed = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("tie")
+    ).withColumn("place", F.monotonically_increasing_id())
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc(), F.col("place").asc()]
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     make_folder(spark, path)
+    end = b"" if end_id is None else struct.pack("<I", end_id)
 
     def write_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(tokenizer, words_apart)
         part, number, out, rows = TaskContext.get().partitionId(), 0, None, []
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0), batch.column(1), strict=True):
+            texts = batch.column(1).cast(pa.binary()).fill_null(b"")
+            for doc_id, text in zip(batch.column(0), texts, strict=True):
                 if out is None:
                     out = FileWriter(path, part, number)
-                out.add(doc_id.as_py(), ids.as_py())
+                out.add(doc_id.as_py(), own.encode(text.as_py()) + end)
                 if out.full():
                     rows.append(out.close())
                     out, number = None, number + 1

@@ -60,17 +60,27 @@ HARD = [
 @pytest.mark.parametrize("size", ["usual", "small"])
 def test_encoder_gives_what_the_library_gives(monkeypatch, size):
     if size == "small":
-        for name, value in (("KNOWN_WORDS", 7), ("WORDS_A_CALL", 3), ("PIECE_BYTES", 40), ("KNOWN_BYTES", 8)):
+        for name, value in (("KNOWN", 7), ("PIECE_BYTES", 40), ("KNOWN_LENGTH", 8)):
             monkeypatch.setattr(token_files, name, value)
     rng = random.Random(3)
     letters = "aZ '.,é́ \x00<|>1 \n\t"
     texts = HARD + ["".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(300)]
+    texts += ["".join(rng.choices("'sStTlLrRvVeEdDmM<|>endoftxÀÿ×÷ß1²ªµ¼", k=rng.randrange(12))) for _ in range(2000)]
     own = token_files.Encoder()
-    assert own.encode([t.encode() for t in texts]) == [packed(plain_ids(t)[:-1]) for t in texts]
-    assert own.encode([t.encode() for t in texts[::-1]]) == [packed(plain_ids(t)[:-1]) for t in texts[::-1]]
-    for text in texts:
-        pieces = [own.encode([p])[0] for p in own.pieces(text.encode())]
-        assert b"".join(pieces) == packed(plain_ids(text)[:-1])
+    for text in texts + texts[::-1]:
+        assert own.encode(text.encode()) == packed(plain_ids(text)[:-1]), text
+    apart = token_files.Encoder(words_apart=False)
+    assert all(apart.encode(t.encode()) == packed(plain_ids(t)[:-1]) for t in HARD)
+
+
+def test_other_tokenizers_go_through_the_whole_library(tmp_path):
+    settings = json.loads(pathlib.Path(token_files.TOKENIZER).read_text())
+    settings["normalizer"]["normalizers"].pop()  # keeps upper case
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(settings))
+    library, own = Tokenizer.from_file(str(other)), token_files.Encoder(str(other))
+    for text in HARD:
+        assert own.encode(text.encode()) == packed(library.encode(text, add_special_tokens=False).ids)
 
 
 def test_odd_rows_ties_and_clashing_names(spark, tmp_path):
@@ -147,7 +157,7 @@ def test_damage_is_found(spark, tmp_path):
     files = token_files.write(documents(spark, [(1, "some words here", "en", "s", 1)]), f"{tmp_path}/files")
     path = next(pathlib.Path(f"{tmp_path}/files").glob("ids-*"))
     good = path.read_bytes()
-    cctx = zstandard.ZstdCompressor(level=1, write_checksum=False)
+    cctx = zstandard.ZstdCompressor(level=token_files.LEVEL, write_checksum=False)
     frame = cctx.compress(packed(plain_ids("some words here")))
     other = cctx.compress(packed(plain_ids("some words her3"))[: len(packed(plain_ids("some words here")))])
     assert good.startswith(frame)
