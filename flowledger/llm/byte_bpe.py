@@ -26,17 +26,19 @@ import base64
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 LEAF_CHARS = 8192  # texts up to this length are matched in one piece
+LEAF_IDS = 1 << 16  # ids up to this number are decoded in one piece
 LEAF_BYTES = 6  # stretches of a match up to this length are merged in one piece
 SCANNED_BYTES = 40  # stretches up to this length look for the next merge by scanning
 MARGIN = 3  # characters of the longest fixed string in the pattern
@@ -74,6 +76,8 @@ class Tokenizer:
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
+        self.vocabulary = pa.array([self.bytes_of.get(i) for i in range(max(self.bytes_of) + 1)], pa.binary())
+        self.decimals = pa.array([b"%d " % i for i in range(len(self.vocabulary))], pa.binary())
         self.pattern = regex.compile(pattern)
         self.matched = _Memo(self._packed, CACHED_MATCHES)
         self.merged = _Memo(self.merge, CACHED_PARTS)
@@ -193,6 +197,24 @@ class Tokenizer:
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
+    def decode_array(self, ids: pa.Array) -> bytes:
+        """The same for an Arrow array: a leaf is taken from the vocabulary at once."""
+        return _concatenated(self.vocabulary, ids)
+
+    def decimal_text(self, ids: pa.Array) -> bytes:
+        """Ids as decimal numbers, joined by one space."""
+        return _concatenated(self.decimals, ids)[:-1]
+
+
+def _concatenated(strings: pa.Array, ids: pa.Array) -> bytes:
+    """The strings at the given places one behind the other, joined up a tree over leaves."""
+    if len(ids) <= LEAF_IDS:
+        _, offsets, data = strings.take(ids).buffers()  # the strings lie one behind the other in it
+        end = np.frombuffer(offsets, np.int32)[len(ids)] if len(ids) else 0
+        return data[: int(end)].to_pybytes() if end else b""
+    half = len(ids) // 2
+    return _concatenated(strings, ids.slice(0, half)) + _concatenated(strings, ids.slice(half))
+
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str = VOCABULARY, pattern: str = PATTERN) -> Tokenizer:
@@ -232,6 +254,26 @@ def with_decoded(
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = tokenizer(path)
         for lists in _slices(batches):
-            yield pa.array([own.decode(x.as_py() or []) for x in lists], pa.binary())
+            yield pa.array([own.decode_array(x.values) if x.is_valid else b"" for x in lists], pa.binary())
 
     return tokens.withColumn(out, decode(ids))
+
+
+def round_trip(text: str = "text", path: str = VOCABULARY, pattern: str = PATTERN) -> Column:
+    """Struct of the number of token ids of a text, the SHA-256 of the ids as decimal text, and that of the
+    bytes the ids decode to. The ids stay in the task that made them."""
+
+    @F.arrow_udf("struct<n_tokens:bigint,ids:binary,decoded:binary>")
+    def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = tokenizer(path, pattern)
+        for texts in _slices(batches):
+            sizes, listed, decoded = [], [], []
+            for each in texts:
+                ids = pa.array(own.encode_packed(each.as_py() or ""))
+                sizes.append(len(ids))
+                listed.append(sha256(own.decimal_text(ids)).digest())
+                decoded.append(sha256(own.decode_array(ids)).digest())
+            columns = [pa.array(sizes, pa.int64()), pa.array(listed, pa.binary()), pa.array(decoded, pa.binary())]
+            yield pa.StructArray.from_arrays(columns, ["n_tokens", "ids", "decoded"])
+
+    return digests(text)

@@ -60,13 +60,12 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = byte_bpe.with_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    decoded = byte_bpe.with_decoded(tokens.drop("text"))
-    return decoded.select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.round_trip().alias("found"))
+    return docs.select(
         "doc_id",
-        F.size("token_ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join("token_ids", " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "found.n_tokens",
+        F.lower(F.hex("found.ids")).alias("ids_sha256"),
+        F.lower(F.hex("found.decoded")).alias("decoded_sha256"),
     )
 
 

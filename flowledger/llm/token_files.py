@@ -145,8 +145,9 @@ class Encoder:
         return np.array(ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.byte_letters)
-        return array("I", [t.id for t in self.library.model.tokenize(letters)]).tobytes()
+        if not piece.isascii():  # ASCII letters stand for themselves
+            piece = piece.encode().decode("latin-1").translate(self.byte_letters)
+        return array("I", [t.id for t in self.library.model.tokenize(piece)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
         if self.pattern is None:

@@ -4,6 +4,7 @@ import base64
 import hashlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
@@ -47,6 +48,16 @@ def test_like_the_library(library, text):
     ids = own.encode(text)
     assert ids == library.encode_ordinary(text)
     assert own.decode(ids) == text.encode()
+    packed = pa.array(ids, pa.int32())
+    assert own.decode_array(packed) == text.encode()
+    assert own.decode_array(packed.slice(1)) == own.decode(ids[1:])
+    assert own.decimal_text(packed) == " ".join(map(str, ids)).encode()
+
+
+def test_long_lists_are_decoded_up_a_tree(monkeypatch):
+    monkeypatch.setattr(bpe, "LEAF_IDS", 3)
+    ids = own.encode("some text of more than a few tokens, long enough for a tree")
+    assert own.decode_array(pa.array(ids)) == own.decode(ids)
 
 
 def test_whole_table_like_the_library(spark, sf_dir, library):

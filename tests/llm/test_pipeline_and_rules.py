@@ -48,9 +48,9 @@ def plain_counts(text):
 
 
 def plain_buckets(text):
-    ends = [w[-3:].encode() for w in words_of(text)]
-    out = [signed(xxhash.xxh64_intdigest(e, 42)) % rules.BUCKETS for e in ends]
-    for a, b in zip(ends, ends[1:]):  # the hash of the first is the seed for the second
+    words = [w.encode() for w in words_of(text)]
+    out = [signed(xxhash.xxh64_intdigest(w, 42)) % rules.BUCKETS for w in words]
+    for a, b in zip(words, words[1:]):  # the hash of the first is the seed for the second
         out.append(signed(xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42))) % rules.BUCKETS)
     return out
 

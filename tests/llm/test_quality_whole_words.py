@@ -1,22 +1,10 @@
 from __future__ import annotations
 
-import xxhash
-
 from flowledger.llm import quality_rules as rules
-from flowledger.llm.common import table
-from flowledger.llm.queries import queries
 from llm import test_pipeline_and_rules as plain
 from llm.helpers import documents
 
 
-def whole_word_buckets(text):
-    words = [w.encode() for w in plain.words_of(text)]
-    out = [plain.signed(xxhash.xxh64_intdigest(w, 42)) % rules.BUCKETS for w in words]
-    for a, b in zip(words, words[1:]):
-        out.append(plain.signed(xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42))) % rules.BUCKETS)
-    return out
-
-
 def test_words_of_the_same_endings_score_differently(spark):
     clean = " ".join(f"clean{i}ing" for i in range(20))
     other = " ".join(f"toxic{i}ing" for i in range(20))
@@ -25,13 +13,3 @@ def test_words_of_the_same_endings_score_differently(spark):
     got = {r["doc_id"]: r for r in rules.quality_rules(documents(spark, rows), labels).collect()}
     assert got[9]["kept"] and not got[10]["kept"]
     assert got[9]["score"] > got[10]["score"] + 0.2
-
-
-def test_whole_table_against_whole_words(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(plain, "plain_buckets", whole_word_buckets)
-    got = queries()["op4_quality_rules"](spark, sf_dir).collect()
-    rows = [(r["doc_id"], r["text"]) for r in table(spark, sf_dir, "documents").collect()]
-    trusted = plain.trusted(table(spark, sf_dir, "labels").collect())
-    plain.same([tuple(r) for r in got], plain.plain_rules(rows, trusted))
-    failed = {i for i, text in rows if plain.plain_counts(text)["base_failed"]}
-    assert all(r["kept"] for r in got if r["doc_id"] in trusted - failed)
