@@ -28,7 +28,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from flowledger.llm.common import Steps, free_name
 from flowledger.operators.numbering import stage
@@ -293,12 +293,32 @@ def near_duplicates(
 def near_dedup(
     docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, tile_rows: int = TILE_ROWS
 ) -> DataFrame:
-    """The row with the smallest id of each component (null ids last), with the columns of `docs`."""
-    mark, place = free_name(docs, "_print"), free_name(docs, "_place")
-    rows = stage(with_fingerprints(docs, mark, width).withColumn(place, F.monotonically_increasing_id()))
-    prints = rows.select("doc_id", F.col(mark).alias("fingerprint"), F.col(place).alias("place"))
-    found = components(prints.select("doc_id", "fingerprint"), radius, tile_rows)
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("place"))
-    first = prints.join(found, "fingerprint").groupBy("_root").agg(F.min(order).alias("first"))
-    kept = first.select(F.col("first.place").alias(place))
-    return rows.join(kept, place, "left_semi").select(*docs.columns)
+    """The row with the smallest id of each component (null ids last), with the columns of `docs`.
+
+    Of several rows with that id one of the smallest row hash stays. Texts are read twice, not written: rows
+    are found again by id and hash of all their columns, and of equal rows one is picked.
+    """
+    mark, row, rank = (free_name(docs, name) for name in ("_print", "_row", "_rank"))
+    kept_id, kept_row, copies = (free_name(docs, name) for name in ("_kept_id", "_kept_row", "_copies"))
+    marked = docs.withColumn(row, F.xxhash64(*docs.columns))
+    own = stage(
+        with_fingerprints(marked, mark, width).select(
+            F.col("doc_id").alias("doc_id"), F.col(mark).alias("fingerprint"), F.col(row).alias("row")
+        )
+    )
+    found = components(own.select("doc_id", "fingerprint"), radius, tile_rows)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    first = own.join(found, "fingerprint").groupBy("_root").agg(F.min(order).alias("first"))
+    counted = own.groupBy("doc_id", "row").agg(F.count("*").alias("copies"))
+    kept = stage(
+        first.select("first.doc_id", "first.row")
+        .alias("f")
+        .join(counted.alias("c"), F.expr("f.row = c.row AND f.doc_id <=> c.doc_id"))
+        .select(F.col("f.doc_id").alias(kept_id), F.col("f.row").alias(kept_row), F.col("copies").alias(copies))
+    )
+    same = (F.col(row) == F.col(kept_row)) & F.col("doc_id").eqNullSafe(F.col(kept_id))
+    single = marked.join(kept.where(F.col(copies) == 1), same, "left_semi")
+    repeated = marked.join(kept.where(F.col(copies) > 1), same, "left_semi")
+    one = F.row_number().over(Window.partitionBy("doc_id", row).orderBy(row))  # limited before the shuffle
+    picked = repeated.withColumn(rank, one).where(F.col(rank) == 1).drop(rank)
+    return single.unionByName(picked).select(*docs.columns)
