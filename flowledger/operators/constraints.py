@@ -5,10 +5,12 @@ Each check returns the number of rows that break it; `require` turns that into a
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flowledger.tables import Table
 
@@ -51,6 +53,32 @@ def require_not_null(df: DataFrame, columns: Iterable[str], table: str) -> None:
         raise ConstraintViolation(f"{table}: null in required columns: {detail}")
 
 
+_NULL_MARK = "null in a required column of"
+
+
+def guarded(rows: DataFrame, columns: Iterable[str], table: str) -> DataFrame:
+    """`rows` whose evaluation fails at the first null in one of the columns: a check without a pass of its
+    own, for rows that are on their way into a table."""
+    kinds = dict(rows.dtypes)
+
+    def guard(c: str) -> Column:
+        return F.coalesce(F.col(c), F.raise_error(F.lit(f"{_NULL_MARK} {table}")).cast(kinds[c])).alias(c)
+
+    required = set(columns)
+    return rows.select(*[guard(c) if c in required else F.col(c) for c in rows.columns])
+
+
+@contextmanager
+def refusing_nulls(rows: DataFrame, columns: Iterable[str], table: str) -> Iterator[None]:
+    """Turns the failure of a guarded write into a violation that names columns and counts."""
+    try:
+        yield
+    except PySparkException as error:
+        if _NULL_MARK in str(error):
+            require_not_null(rows, columns, table)
+        raise
+
+
 def require_empty(violations: DataFrame, message: str) -> None:
     if not violations.isEmpty():
         raise ConstraintViolation(message)

@@ -15,7 +15,7 @@ from flowledger.constants import (
     WORKFLOW_TYPES,
 )
 from flowledger.functions.timing import calendar_date, date_key
-from flowledger.operators.numbering import number_rows
+from flowledger.operators.numbering import number_rows, stage
 from flowledger.tables import Table
 
 
@@ -78,10 +78,11 @@ def status_members(staging: DataFrame) -> DataFrame:
     )
 
 
-def date_members(staging: DataFrame) -> DataFrame:
+def date_members(dated: DataFrame) -> DataFrame:
+    """The days in column `calendar_date`."""
     day = F.col("calendar_date")
     return (
-        staging.select(calendar_date(F.col("created_at")).alias("calendar_date"))
+        dated.select(day)
         .where(day.isNotNull())
         .distinct()
         .select(
@@ -98,16 +99,44 @@ def date_members(staging: DataFrame) -> DataFrame:
     )
 
 
-def build_dimensions(staging: DataFrame) -> dict[str, DataFrame]:
+MEMBER_KINDS = ("team_name", "workflow_type", "status", "calendar_date")
+
+
+def seen_members(staging: DataFrame) -> DataFrame:
+    """What a batch holds, from one scan: a row per team, type, status and day, with `kind` naming the column
+    that is filled, and one of kind `all`; each with its number of rows and of flagged rows."""
+    rows = staging.withColumn("calendar_date", calendar_date(F.col("created_at")))
+    kind = F.lit("all")
+    for name in MEMBER_KINDS:
+        kind = F.when(F.grouping(name) == 0, F.lit(name)).otherwise(kind)
+    grouped = rows.select(*MEMBER_KINDS, "exception_flag").groupingSets(
+        [*[[F.col(name)] for name in MEMBER_KINDS], []], *MEMBER_KINDS
+    )
+    return grouped.agg(
+        kind.alias("kind"), F.count("*").alias("n_rows"), F.count_if("exception_flag").alias("n_flagged")
+    )
+
+
+def dimensions_of(seen: DataFrame) -> dict[str, DataFrame]:
+    """Dimension members from the (written) rows of `seen_members`."""
+
+    def of(kind: str) -> DataFrame:
+        return seen.where(F.col("kind") == kind)
+
     return {
-        "dim_team": team_members(staging),
-        "dim_workflow_type": workflow_type_members(staging),
-        "dim_priority": priority_members(staging.sparkSession),
-        "dim_status": status_members(staging),
-        "dim_date": date_members(staging),
+        "dim_team": team_members(of("team_name")),
+        "dim_workflow_type": workflow_type_members(of("workflow_type")),
+        "dim_priority": priority_members(seen.sparkSession),
+        "dim_status": status_members(of("status")),
+        "dim_date": date_members(of("calendar_date")),
     }
 
 
+def build_dimensions(staging: DataFrame) -> dict[str, DataFrame]:
+    """All members a batch holds; the batch is read once, now."""
+    return dimensions_of(stage(seen_members(staging)))
+
+
 # Natural key and the order in which new members get their numbers.
 NATURAL_KEYS = {
     "dim_team": ("team_name", "team_name"),

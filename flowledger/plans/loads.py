@@ -9,13 +9,13 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, functions as F
 
 from flowledger.constants import QUARANTINED, SOURCE_ROW_TAKEN
-from flowledger.functions.timing import calendar_date, date_key, stored_hours
+from flowledger.functions.timing import date_key, stored_hours
 from flowledger.operators.constraints import (
     invalid_json,
     require_empty,
     require_not_null,
 )
-from flowledger.operators.dimensions import build_dimensions, upsert_dimension
+from flowledger.operators.dimensions import dimensions_of, seen_members, upsert_dimension
 from flowledger.operators.facts import (
     build_backlog_daily,
     build_kpi_daily,
@@ -39,7 +39,7 @@ from flowledger.operators.staging import (
     prepare_staging,
 )
 from flowledger.operators.validation import quarantine_records
-from flowledger.store import Warehouse
+from flowledger.store import Change, Warehouse
 from flowledger.tables import (
     DIMENSIONS,
     FACT_BACKLOG_DAILY,
@@ -99,8 +99,9 @@ def load_quarantine(
         return
     latest = quarantine_records(last_per_key(invalid, SOURCE_KEY))
     batch = QUARANTINE.conform(latest.withColumnRenamed(EVENT_NUMBER, QUARANTINE.surrogate))
-    stored = store.within(QUARANTINE, store.touched(QUARANTINE, batch)).select(*QUARANTINE.columns)
-    store.overwrite_partitions(QUARANTINE, replace_by_key(stored, batch, SOURCE_KEY))
+    touched = store.touched(QUARANTINE, batch)
+    stored = store.within(QUARANTINE, touched).select(*QUARANTINE.columns)
+    store.replace(QUARANTINE, replace_by_key(stored, batch, SOURCE_KEY), touched)
 
 
 def write_quarantine_csv(invalid: DataFrame, path: str) -> None:
@@ -109,11 +110,36 @@ def write_quarantine_csv(invalid: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def load_raw(store: Warehouse, valid: DataFrame) -> None:
-    """Append the rows whose source row is not stored yet; a stored row is never changed."""
-    stored = store.within(RAW, store.touched(RAW, valid))
-    fresh = only_new(valid, stored, SOURCE_KEY)
+def load_raw(store: Warehouse, valid: DataFrame) -> DataFrame:
+    """Append the rows whose source row is not stored yet; a stored row is never changed.
+
+    Only files that were delivered before are compared with stored rows; a new file needs no look at
+    history. Returns the (written) names of the batch's files that were delivered before. A file is noted
+    before its rows are appended, so after a stop in between it counts as delivered and is compared.
+    """
+    number = F.col("source_row_number")
+    files = stage(
+        valid.groupBy("source_file_name").agg(
+            F.count("*").alias("n_rows"), F.min(number).alias("first_row"), F.max(number).alias("last_row")
+        )
+    )
+    names = store.delivered_files().select("source_file_name")
+    seen = stage(files.select("source_file_name").join(names, "source_file_name", "left_semi"))
+    store.note_files(files)
+    if seen.isEmpty():
+        fresh = first_per_key(valid, SOURCE_KEY)
+    else:
+        known, new = split_by_file(valid, seen)
+        stored = store.within(RAW, store.touched(RAW, known))
+        fresh = first_per_key(new, SOURCE_KEY).unionByName(only_new(known, stored, SOURCE_KEY))
     store.append(RAW, RAW.conform(fresh.withColumnRenamed(EVENT_NUMBER, RAW.surrogate)))
+    return seen
+
+
+def split_by_file(rows: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files that were delivered before, and the others. `seen` has one row per file."""
+    known = rows.join(seen, "source_file_name", "left_semi")
+    return known, rows.join(seen, "source_file_name", "left_anti")
 
 
 def raw_key_map(raw: DataFrame, batch: DataFrame) -> DataFrame:
@@ -125,14 +151,28 @@ def raw_key_map(raw: DataFrame, batch: DataFrame) -> DataFrame:
     return raw.join(files, "source_file_name", "left_semi").select("raw_event_id", *SOURCE_KEY)
 
 
-def batch_raw_keys(store: Warehouse, valid: DataFrame) -> DataFrame:
+def batch_raw_keys(store: Warehouse, valid: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """(raw_event_id, file, row) of the stored rows a batch refers to.
 
-    Matches on (file, row), within the buckets the batch touches: unlike a match on the file name it
-    cannot be skewed by one large file.
+    Rows of new files (all but those in `seen`, where that is given) were stored by this load under their
+    own numbers. Other rows are matched on (file, row), within the buckets the batch touches: unlike a
+    match on the file name that cannot be skewed by one large file.
     """
-    stored = store.within(RAW, store.touched(RAW, valid)).select("raw_event_id", *SOURCE_KEY)
-    return stored.join(valid.select(*SOURCE_KEY), list(SOURCE_KEY), "left_semi")
+    if seen is None:
+        return _stored_keys(store, valid)
+    if seen.isEmpty():
+        return _own_keys(valid)
+    known, new = split_by_file(valid, seen)
+    return _own_keys(new).unionByName(_stored_keys(store, known))
+
+
+def _own_keys(rows: DataFrame) -> DataFrame:
+    return first_per_key(rows, SOURCE_KEY).select(F.col(EVENT_NUMBER).alias("raw_event_id"), *SOURCE_KEY)
+
+
+def _stored_keys(store: Warehouse, rows: DataFrame) -> DataFrame:
+    stored = store.within(RAW, store.touched(RAW, rows)).select("raw_event_id", *SOURCE_KEY)
+    return stored.join(rows.select(*SOURCE_KEY), list(SOURCE_KEY), "left_semi")
 
 
 def with_raw_keys(latest: DataFrame, raw_keys: DataFrame) -> DataFrame:
@@ -167,15 +207,16 @@ def load_staging(store: Warehouse, staging: DataFrame) -> None:
             EVENT_NUMBER, STAGING.surrogate
         )
     )
-    stored = store.within(STAGING, store.touched(STAGING, staging)).select(*STAGING.columns)
-    store.overwrite_partitions(STAGING, replace_by_key(stored, batch, ["raw_event_id"]))
+    touched = store.touched(STAGING, staging)
+    stored = store.within(STAGING, touched).select(*STAGING.columns)
+    store.replace(STAGING, replace_by_key(stored, batch, ["raw_event_id"]), touched)
 
 
 # --- dimensions, facts, mart ------------------------------------------------------------------
 
 
-def load_dimensions(store: Warehouse, staging: DataFrame) -> None:
-    members = build_dimensions(staging)
+def load_dimensions(store: Warehouse, members: dict[str, DataFrame]) -> None:
+    """Upsert the members a batch holds."""
 
     def load(table: Table) -> None:
         store.snapshot(table, upsert_dimension(store.read(table), members[table.name], table))
@@ -184,45 +225,49 @@ def load_dimensions(store: Warehouse, staging: DataFrame) -> None:
 
 
 def load_warehouse(store: Warehouse, staging: DataFrame) -> DataFrame:
-    """Dimensions, then facts, then the mart; returns (table_name, loaded_rows).
+    """Dimensions, then facts and mart in one commit; returns (table_name, loaded_rows).
 
-    `staging` must be a written stage: it is read once per output. An empty batch changes nothing.
+    `staging` must be a written stage: it is read once for members and counts, and once per fact table. An
+    empty batch changes nothing. A load that stops before the commit leaves facts and mart as they were.
     """
     if staging.isEmpty():
         return staging.sparkSession.range(0).selectExpr("'' AS table_name", "id AS loaded_rows")
-    day = date_key(calendar_date(F.col("created_at")))
-    _, dates, backlog, kpi = together(
-        lambda: load_dimensions(store, staging),
-        lambda: stage(staging.select(day.alias("date_key")).distinct()),
+    seen, backlog, kpi = together(
+        lambda: stage(seen_members(staging)),
         lambda: stage(build_backlog_daily(staging)),
         lambda: stage(build_kpi_daily(staging)),
     )
+    load_dimensions(store, dimensions_of(seen))
+    days = seen.where("kind = 'calendar_date' AND calendar_date IS NOT NULL")
+    dates = stage(days.select(date_key(F.col("calendar_date")).alias("date_key")))
+    number = store.next_commit()
 
-    def load(table: Table, rows: DataFrame) -> None:
+    def load(table: Table, rows: DataFrame) -> Change:
         numbered = rows.withColumnRenamed(EVENT_NUMBER, table.surrogate)
-        replace_slices(store, table, table.conform(numbered), dates)
+        return replace_slices(store, table, table.conform(numbered), dates, number)
 
-    together(
+    changes = together(
         lambda: load(FACT_WORKFLOW_RUN, fact_workflow_run(staging, store)),
         lambda: load(FACT_EXCEPTION, fact_exception(staging, store)),
         lambda: load(FACT_BACKLOG_DAILY, fact_backlog_daily(backlog, store)),
+        lambda: load(KPI_DAILY_SUMMARY, kpi_daily_summary(kpi, store)),
     )
-    load(KPI_DAILY_SUMMARY, kpi_daily_summary(kpi, store))
-    loaded = {
-        FACT_WORKFLOW_RUN: staging,
-        FACT_EXCEPTION: staging.where("exception_flag"),
-        FACT_BACKLOG_DAILY: backlog,
-        KPI_DAILY_SUMMARY: kpi,
-    }
+    store.commit(number, changes)
+    whole = seen.where("kind = 'all'")
     counts = [
-        df.agg(F.lit(t.name).alias("table_name"), F.count("*").alias("loaded_rows"))
-        for t, df in loaded.items()
+        (FACT_WORKFLOW_RUN, whole.select("n_rows")),
+        (FACT_EXCEPTION, whole.select("n_flagged")),
+        (FACT_BACKLOG_DAILY, backlog.agg(F.count("*"))),
+        (KPI_DAILY_SUMMARY, kpi.agg(F.count("*"))),
     ]
-    return reduce(DataFrame.unionByName, counts)
+    named = [df.toDF("loaded_rows").select(F.lit(t.name).alias("table_name"), "loaded_rows") for t, df in counts]
+    return reduce(DataFrame.unionByName, named)
 
 
-def replace_slices(store: Warehouse, table: Table, incoming: DataFrame, dates: DataFrame) -> None:
-    """Replace all rows of the given dates, also where nothing new comes in for a date.
+def replace_slices(
+    store: Warehouse, table: Table, incoming: DataFrame, dates: DataFrame, number: int
+) -> Change:
+    """Write what replaces all rows of the given dates, also where nothing new comes in for a date.
 
     In a table laid out by date only those dates are written. In one laid out by month (the small
     aggregates) the other dates of a touched month are carried over.
@@ -232,6 +277,4 @@ def replace_slices(store: Warehouse, table: Table, incoming: DataFrame, dates: D
     if store.layout(table) != "date_key":
         stored = store.within(table, touched).select(*table.columns)
         rows = stored.join(dates, "date_key", "left_anti").unionByName(incoming)
-    filled = store.touched(table, rows)
-    store.overwrite_partitions(table, rows)
-    store.drop_partitions(table, sorted(set(touched) - set(filled)))
+    return store.write_beside(table, rows, touched, number)

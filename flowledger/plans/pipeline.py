@@ -204,8 +204,10 @@ def load_and_stage(
         load_quarantine(store, checked.invalid, f"{run_dir}/diagnostics")
         taken = taken_rows(checked.valid, latest)
         load_quarantine(store, taken, f"{run_dir}/diagnostics", "workflow_events_taken_rows")
-        load_raw(store, checked.valid)
-        raw_keys = _kept(spark, f"{run_dir}/raw_keys", lambda: batch_raw_keys(store, checked.valid))
+        seen = load_raw(store, checked.valid)
+        raw_keys = _kept(
+            spark, f"{run_dir}/raw_keys", lambda: batch_raw_keys(store, checked.valid, seen)
+        )
         stage(with_raw_keys(latest, raw_keys), path)
     staging = spark.read.parquet(path)
     if staging.isEmpty():

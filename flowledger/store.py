@@ -2,8 +2,11 @@
 
 * Dimensions are snapshots: a load writes `v=<n+1>`, readers take the highest committed version.
 * Raw rows are only ever appended.
-* Quarantine, staging, facts and mart are partitioned; a load overwrites the partitions it touches
-  (dynamic partition overwrite) and removes those it leaves empty.
+* Quarantine, staging, facts and mart are partitioned. A load writes the partitions it touches beside the
+  present ones, below `load=<n>`, and `commit` makes them current: one small pointer table per commit says
+  which load each partition of each table is read from. Writing that table is the only step that changes
+  what readers see, so all tables of a commit change together; a load that stops before it changes nothing,
+  and the next one writes over what it left. Partitions that no kept pointer names are removed.
 
 Every partitioned write is preceded by a rebalance on the partition column: small partitions share a
 task, and a partition that holds a large share of the rows is split over many tasks and files.
@@ -12,10 +15,12 @@ task, and a partition that holds a large share of the rows is split over many ta
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowledger.functions.timing import month_key
+from flowledger.operators.constraints import guarded, refusing_nulls
 from flowledger.sources.files import child_names, exists, make_folder, remove
 from flowledger.tables import ALL_TABLES, Table
 
@@ -23,6 +28,7 @@ KEY_BUCKETS = 256
 _ROWS_PER_KEY_BLOCK = 1_000_000
 _IDS_PER_RANGE = 100_000_000
 _KEPT_VERSIONS = 2
+_KEPT_COMMITS = 8  # pointers whose partitions stay readable
 
 
 def key_bucket() -> Column:
@@ -36,6 +42,16 @@ def id_range() -> Column:
     return F.call_function("div", F.col("raw_event_id"), F.lit(_IDS_PER_RANGE)).cast("int")
 
 
+_COMMITS = "_commits"
+_DELIVERED = "raw/_delivered_files"
+_DELIVERED_COLUMNS = {
+    "source_file_name": "string",
+    "n_rows": "bigint",
+    "first_row": "bigint",
+    "last_row": "bigint",
+}
+_POINTER = "table_name string, partition int, load int"
+
 _LAYOUT = {
     "key_bucket": key_bucket,
     "id_range": id_range,
@@ -48,6 +64,14 @@ class TableNotFound(LookupError):
     pass
 
 
+class Change(NamedTuple):
+    """Partitions of a table that a load has written and not committed yet."""
+
+    table: Table
+    touched: list[int]  # partitions that are replaced
+    filled: list[int]  # those of them that have rows
+
+
 class Warehouse:
     """`facts_by` is the layout of the row-level facts: "date_key" where a day fills files of a useful
     size, "month_key" where a day holds only a few rows. Results are the same; a load rewrites whole
@@ -57,6 +81,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.facts_by = facts_by
+        self._known: dict[int, dict[tuple[str, int], int]] = {}  # pointers that were read
 
     # --- catalog -----------------------------------------------------------------
 
@@ -82,26 +107,50 @@ class Warehouse:
             raise TableNotFound(f"{table.layer}.{table.name} does not exist in {self.root}")
         columns = {c: table.type_of(c) for c in table.columns}
         layout = self.layout(table)
-        path = self._current(table)
-        if path is None:
+        paths = self._current(table)
+        if not paths:
             empty = table.empty(self.spark)
             return empty if layout in (None, *columns) else empty.withColumn(layout, F.lit(0))
         if layout:
             columns.setdefault(layout, "int")
         ddl = ", ".join(f"`{c}` {t}" for c, t in columns.items())
-        return self.spark.read.schema(ddl).parquet(path).select(*columns)
+        reader = self.spark.read.schema(ddl)
+        if table.partition:
+            reader = reader.option("basePath", self.path(table))
+        return reader.parquet(*paths).select(*columns)
 
     def __getitem__(self, name: str) -> DataFrame:
         """`read` by table name, so that a warehouse can stand where a mapping of tables is asked for."""
         return self.read(ALL_TABLES[name])
 
-    def _current(self, table: Table) -> str | None:
+    def _current(self, table: Table) -> list[str]:
+        """The folders that hold the rows of a table."""
         path = self.path(table)
+        if table.versioned:
+            layout = self.layout(table)
+            return [
+                f"{path}/load={load}/{layout}={value}"
+                for (name, value), load in sorted(self._pointer().items())
+                if name == table.name
+            ]
         if table.partition:
             folders = child_names(self.spark, path)
-            return path if any(n.startswith(f"{self.layout(table)}=") for n in folders) else None
+            return [path] if any(n.startswith(f"{self.layout(table)}=") for n in folders) else []
         versions = self._versions(path)
-        return f"{path}/v={versions[-1]}" if versions else None
+        return [f"{path}/v={versions[-1]}"] if versions else []
+
+    def _pointer(self, number: int | None = None) -> dict[tuple[str, int], int]:
+        """(table, partition) -> load, of the last commit or of the given one. One entry per partition."""
+        path = f"{self.root}/{_COMMITS}"
+        if number is None:
+            versions = self._versions(path)
+            if not versions:
+                return {}
+            number = versions[-1]
+        if number not in self._known:
+            rows = self.spark.read.schema(_POINTER).parquet(f"{path}/v={number}").collect()
+            self._known[number] = {(r.table_name, r.partition): r.load for r in rows}
+        return self._known[number]
 
     def _versions(self, path: str) -> list[int]:
         """Committed snapshot numbers, oldest first."""
@@ -120,27 +169,72 @@ class Warehouse:
     def within(self, table: Table, partitions: list[int]) -> DataFrame:
         return self.read(table).where(F.col(self.layout(table)).isin(partitions))
 
-    def append(self, table: Table, rows: DataFrame) -> None:
-        self._write(table, rows, "append")
+    def next_commit(self) -> int:
+        versions = self._versions(f"{self.root}/{_COMMITS}")
+        return versions[-1] + 1 if versions else 1
 
-    def overwrite_partitions(self, table: Table, rows: DataFrame) -> None:
-        self._write(table, rows, "overwrite")
+    def write_beside(self, table: Table, rows: DataFrame, touched: list[int], number: int) -> Change:
+        """Write partitions for commit `number`; until then readers go on with the present ones.
 
-    def drop_partitions(self, table: Table, partitions: Iterable[int]) -> None:
-        for value in partitions:
-            remove(self.spark, f"{self.path(table)}/{self.layout(table)}={value}")
+        Refuses nulls in required columns, which are met while writing: keys that no dimension
+        member answers are null, so this refuses dangling keys too.
+        """
+        path, layout = f"{self.path(table)}/load={number}", self.layout(table)
+        with refusing_nulls(rows, table.required, table.name):
+            placed = self._partitioned(table, guarded(rows, table.required, table.name))
+            placed.write.mode("overwrite").partitionBy(layout).parquet(path)
+        names = child_names(self.spark, path)
+        filled = sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{layout}="))
+        return Change(table, touched, filled)
+
+    def commit(self, number: int, changes: list[Change]) -> None:
+        """Make all changes current at once."""
+        pointer = dict(self._pointer())
+        for change in changes:
+            for value in change.touched:
+                pointer.pop((change.table.name, value), None)
+            pointer |= {(change.table.name, value): number for value in change.filled}
+        path = f"{self.root}/{_COMMITS}"
+        rows = [(name, value, load) for (name, value), load in pointer.items()]
+        listed = self.spark.createDataFrame(rows, _POINTER).coalesce(1)
+        listed.write.mode("overwrite").parquet(f"{path}/v={number}")
+        self._known[number] = pointer
+        *dropped, oldest = self._versions(path)[: 1 - _KEPT_COMMITS] or [number]
+        for old in dropped:
+            self._forget(old, oldest)
+        for change in changes:
+            self._sweep(change.table, oldest)
+
+    def _sweep(self, table: Table, oldest: int) -> None:
+        """Remove what loads that never reached their commit have left."""
+        used = {load for (name, _), load in self._pointer(oldest).items() if name == table.name}
+        for name in child_names(self.spark, self.path(table)):
+            load = int(name[5:]) if name.startswith("load=") else oldest
+            if load < oldest and load not in used:
+                remove(self.spark, f"{self.path(table)}/{name}")
+
+    def _forget(self, old: int, oldest: int) -> None:
+        """Remove a pointer, and the partitions that it names and the oldest one that is kept does not."""
+        gone = self._pointer(old).items() - self._pointer(oldest).items()
+        for (name, value), load in gone:
+            table = ALL_TABLES[name]
+            remove(self.spark, f"{self.path(table)}/load={load}/{self.layout(table)}={value}")
+        remove(self.spark, f"{self.root}/{_COMMITS}/v={old}")
+        self._known.pop(old, None)
+
+    def replace(self, table: Table, rows: DataFrame, touched: list[int]) -> None:
+        """Replace the touched partitions of one table."""
+        number = self.next_commit()
+        self.commit(number, [self.write_beside(table, rows, touched, number)])
 
-    def _write(self, table: Table, rows: DataFrame, mode: str) -> None:
+    def append(self, table: Table, rows: DataFrame) -> None:
+        layout = self.layout(table)
+        self._partitioned(table, rows).write.mode("append").partitionBy(layout).parquet(self.path(table))
+
+    def _partitioned(self, table: Table, rows: DataFrame) -> DataFrame:
         layout = self.layout(table)
-        (
-            rows.withColumn(layout, _LAYOUT[layout]())
-            .hint("rebalance", layout)
-            .sortWithinPartitions(layout, table.sort_by)
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(layout)
-            .parquet(self.path(table))
-        )
+        placed = rows.withColumn(layout, _LAYOUT[layout]()).hint("rebalance", layout)
+        return placed.sortWithinPartitions(layout, table.sort_by)
 
     def snapshot(self, table: Table, rows: DataFrame) -> None:
         self._write_version(self.path(table), rows)
@@ -152,6 +246,19 @@ class Warehouse:
         for old in versions[: 1 - _KEPT_VERSIONS]:
             remove(self.spark, f"{path}/v={old}")
 
+    # --- delivered files -----------------------------------------------------------------
+
+    def delivered_files(self) -> DataFrame:
+        """Files whose rows may be stored: a row is noted before the rows of its file are appended."""
+        path = f"{self.root}/{_DELIVERED}"
+        if not exists(self.spark, path):
+            return self.spark.range(0).selectExpr(*[f"CAST(NULL AS {t}) AS {c}" for c, t in _DELIVERED_COLUMNS.items()])
+        ddl = ", ".join(f"{c} {t}" for c, t in _DELIVERED_COLUMNS.items())
+        return self.spark.read.schema(ddl).parquet(path)
+
+    def note_files(self, files: DataFrame) -> None:
+        files.select(*_DELIVERED_COLUMNS).write.mode("append").parquet(f"{self.root}/{_DELIVERED}")
+
     # --- surrogate keys ---------------------------------------------------------------
 
     def reserve(self, rows: int) -> int:

@@ -22,11 +22,17 @@ class Table:
     stamped: str | None = None  # load time column
     partition: str | None = None  # layout column, derived from `partition_source`
     sort_by: str | None = None
+    append_only: bool = False
 
     @property
     def path(self) -> str:
         return f"{self.layer}/{self.name}"
 
+    @property
+    def versioned(self) -> bool:
+        """Whether loads replace partitions of it, as against appending rows or writing snapshots."""
+        return self.partition is not None and not self.append_only
+
     def type_of(self, column: str) -> str:
         return self.columns[column].rstrip("!")
 
@@ -97,6 +103,7 @@ RAW = Table(
     stamped="ingested_at",
     partition="key_bucket",
     sort_by="source_row_number",
+    append_only=True,
 )
 
 QUARANTINE = Table(
