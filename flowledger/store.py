@@ -199,7 +199,8 @@ class Warehouse:
         listed = self.spark.createDataFrame(rows, _POINTER).coalesce(1)
         listed.write.mode("overwrite").parquet(f"{path}/v={number}")
         self._known[number] = pointer
-        *dropped, oldest = self._versions(path)[: 1 - _KEPT_COMMITS] or [number]
+        versions = self._versions(path)
+        dropped, oldest = versions[:-_KEPT_COMMITS], versions[-_KEPT_COMMITS:][0]
         for old in dropped:
             self._forget(old, oldest)
         for change in changes:
