@@ -236,13 +236,18 @@ def _keyed(name: str) -> Query:
     return query
 
 
-def _report(build) -> Query:
-    return lambda spark, sf_dir: _counts_as_bigint(_plain(build(_star(spark, sf_dir))))
+def _loaded(spark, sf_dir):
+    """The stored tables of a loaded warehouse."""
+    return _warehouse(spark, sf_dir)[0]
 
 
-def _summary(**filters) -> Query:
+def _report(build, tables=_star) -> Query:
+    return lambda spark, sf_dir: _counts_as_bigint(_plain(build(tables(spark, sf_dir))))
+
+
+def _summary(tables=_star, **filters) -> Query:
     def query(spark, sf_dir):
-        df = reports.kpi_summary(_star(spark, sf_dir), **filters)
+        df = reports.kpi_summary(tables(spark, sf_dir), **filters)
         means = [c for c, t in df.dtypes if t == "double"]
         return df.withColumns({c: F.round(c, 6) for c in means})
 
@@ -551,6 +556,28 @@ def queries() -> dict[str, Query]:
                 t, start="1998-01-01", team="CustomerCare", page=3, page_size=20
             ).rows
         ),
+        "team_performance_total": _report(
+            lambda t: reports.team_performance(t, start="1998-01-01", team="CustomerCare").total
+        ),
+        "stored_kpi_summary": _summary(
+            _loaded, start="1997-01-01", end="1999-06-30", team="RiskOps", workflow_type="RefundReview"
+        ),
+        "stored_kpi_daily_page": _report(lambda t: reports.kpi_daily(t, page=2).rows, _loaded),
+        "stored_team_performance_page": _report(
+            lambda t: reports.team_performance(
+                t, start="1998-01-01", team="CustomerCare", page=3, page_size=20
+            ).rows,
+            _loaded,
+        ),
+        "stored_exceptions_page": _report(
+            lambda t: reports.exceptions(t, team="PaymentsOps", page=3).rows, _loaded
+        ),
+        "stored_backlog_page": _report(
+            lambda t: reports.backlog(t, start="1996-01-01", team="ClaimsReview").rows, _loaded
+        ),
+        "stored_workflow_detail": _report(
+            lambda t: reports.workflow_detail(t, "WF-00000007"), _loaded
+        ),
         "exceptions_page": _report(lambda t: reports.exceptions(t, team="PaymentsOps", page=3).rows),
         "exceptions_total": _report(
             lambda t: reports.exceptions(

@@ -596,6 +596,15 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'summary', '', '', '', CAST(sum(total_workflows) AS BIGINT) FROM kpi""",
     )
 
+    q["team_performance_total"] = chain(
+        DAILY,
+        """SELECT count(*) AS total FROM kpi WHERE team_name = 'CustomerCare' AND day >= DATE '1998-01-01'""",
+    )
+    # the same reports over the tables that a load has stored
+    for name in ("kpi_daily_page", "team_performance_page", "exceptions_page", "backlog_page", "workflow_detail"):
+        q[f"stored_{name}"] = q[name]
+    q["stored_kpi_summary"] = q["kpi_summary_filtered"]
+
     # loads
     q["csv_source_rows"] = q["normalized_source"]
     q["csv_lineage"] = chain(SOURCE, "SELECT count(*) AS n_rows, true AS consecutive FROM src")

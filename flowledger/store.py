@@ -229,6 +229,8 @@ class Warehouse:
         self.commit(number, [self.write_beside(table, rows, touched, number)])
 
     def append(self, table: Table, rows: DataFrame) -> None:
+        if table.versioned:
+            raise ValueError(f"{table.name}: its partitions are replaced, never appended to")
         layout = self.layout(table)
         self._partitioned(table, rows).write.mode("append").partitionBy(layout).parquet(self.path(table))
 

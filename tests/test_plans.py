@@ -57,9 +57,11 @@ def test_date_bounds_prune_partitions(spark, tmp_path):
     rows = KPI_DAILY_SUMMARY.conform(
         spark.sql(
             "SELECT * FROM VALUES (20250101), (20250215), (20250320) AS t(date_key)"
-        ).withColumns({c: F.lit(1) for c in reports.MEASURES})
+        ).withColumns({c: F.lit(1) for c in (KPI_DAILY_SUMMARY.surrogate, *reports.MEASURES)})
     )
-    store.append(KPI_DAILY_SUMMARY, rows)
+    store.replace(KPI_DAILY_SUMMARY, rows, [202501, 202502, 202503])
+    with pytest.raises(ValueError, match="replaced"):
+        store.append(KPI_DAILY_SUMMARY, rows)
     tables = {n: store[n] for n in ("kpi_daily_summary", "dim_date", "dim_team", "dim_workflow_type")}
     tables["dim_date"] = spark.sql("SELECT 20250215 AS date_key, DATE'2025-02-15' AS calendar_date")
     df = reports.team_performance_daily(tables, "2025-02-01", "2025-02-28")
