@@ -13,7 +13,8 @@ Components count as floor(SCALE * x), sums are integers and exact.
 Edge cases: vectors that are null or hold a null or non-finite component take no part; shorter vectors
 are filled up with zeros; ties go to the smaller id, null ids last; a repeated row is a candidate of its
 own and a query of its own (only the query's own row is left out); fewer candidates give fewer rows;
-scores beyond 64 bits are set to the nearest 64-bit number; other columns are not used.
+components and scores beyond 64 bits are set to the nearest 64-bit number, before scores are compared;
+other columns are not used.
 """
 
 from __future__ import annotations
@@ -43,13 +44,18 @@ _FOUND = "own bigint, place bigint, query_id bigint, vec_id bigint, score bigint
 # --- blocks -------------------------------------------------------------------------------------------
 
 
+def _largest(cells: np.ndarray) -> int:
+    """The largest magnitude; the smallest whole number of 64 bits has none, its complement is one less."""
+    return max(int(cells.max(initial=0)), ~int(cells.min(initial=0)) + 1)
+
+
 def _packed(rows: list[np.ndarray], ids: list, block: int) -> dict:
     """Vectors of a block, one dimension after the other, in the narrowest whole numbers that hold them."""
     dims = max((len(r) for r in rows), default=0)
     cells = np.zeros((dims, len(rows)), np.int64)
     for i, row in enumerate(rows):
         cells[: len(row), i] = row
-    width = next(w for w in (2, 4, 8) if w == 8 or np.abs(cells).max(initial=0) < 1 << (8 * w - 2))
+    width = next(w for w in (2, 4, 8) if w == 8 or _largest(cells) < 1 << (8 * w - 2))
     return {
         "block": block,
         "n": len(rows),
@@ -114,11 +120,12 @@ def best_of(query: np.ndarray, cells: np.ndarray, tie: np.ndarray, skip: int, k:
     alive = np.flatnonzero(np.arange(n) != skip)
     q = np.zeros(dims, np.int64)
     q[: len(query)] = query
-    bound = int(np.abs(q).max(initial=0)) * int(np.abs(cells).max(initial=0)) * dims
+    bound = _largest(q) * _largest(cells) * dims
     if bound >= _EXACT:  # rare: plain whole numbers of any size
-        whole = [sum(int(a) * int(b) for a, b in zip(q, cells[:, i])) for i in alive]
+        sums = (sum(int(a) * int(b) for a, b in zip(q, cells[:, i])) for i in alive)
+        whole = [min(max(s, _LONG.min), _LONG.max) for s in sums]
         order = sorted(range(len(alive)), key=lambda i: (-whole[i], tie[alive[i]]))[:k]
-        return alive[order], np.array([min(max(whole[i], _LONG.min), _LONG.max) for i in order], np.int64)
+        return alive[order], np.array([whole[i] for i in order], np.int64)
     groups = [slice(at, min(at + GROUP, len(cells))) for at in range(0, len(cells), GROUP)]
     masses = np.array([np.square(q[g].astype(float)).sum() for g in groups])
     order = np.argsort(-masses, kind="stable")
