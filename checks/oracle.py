@@ -102,7 +102,7 @@ src AS (
     CASE WHEN k % 107 = 0 THEN 'unknown' WHEN st = 'completed' THEN ' Completed ' ELSE st END AS status,
     lower(n_name) || ' desk' AS queue_name,
     strftime(created, '%Y-%m-%dT%H:%M:%SZ') AS created_at,
-    CASE WHEN k % 113 = 0 THEN 'not-a-timestamp'
+    CASE WHEN k % 113 = 0 THEN 'half past six'
       ELSE strftime(started, '%Y-%m-%dT%H:%M:%SZ') END AS started_at,
     CASE WHEN k % 131 = 0 OR st NOT IN ('completed', 'failed', 'cancelled') THEN ''
       ELSE strftime(completed, '%Y-%m-%dT%H:%M:%SZ') END AS completed_at,

@@ -152,7 +152,7 @@ def _events(orders: DataFrame, deliveries: Column) -> DataFrame:
         .otherwise(state),
         "queue_name": F.concat(F.lower("n_name"), F.lit(" desk")),
         "created_at": _iso(created),
-        "started_at": F.when(every(113), F.lit("not-a-timestamp")).otherwise(_iso(started + shift)),
+        "started_at": F.when(every(113), F.lit("half past six")).otherwise(_iso(started + shift)),
         "completed_at": F.when(every(131) | ~ends, F.lit("")).otherwise(_iso(completed + shift)),
         "due_at": F.when(every(149), F.lit("")).otherwise(_iso(due)),
         "backlog_flag": F.when(state == "queued", F.lit("Y"))

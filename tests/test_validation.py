@@ -22,40 +22,36 @@ def test_missing_columns_are_named_in_order(spark):
         require_columns(df)
 
 
-def test_split_summary_and_error_order(spark):
-    checked = validate(
-        events(
-            spark,
-            event(),
-            event(workflow_id="REQ-2", status="parked"),
-            event(
-                workflow_id="  ",
-                completed_at="2031-03-01T12:00:00Z",
-                due_at="2031-02-28T08:00:00Z",
-                started_at="half past six",
-                priority="soonest",
-            ),
-        )
-    ).staged()
-    assert checked.summary.first().asDict() == {
-        "input_rows": 3,
-        "valid_rows": 1,
-        "invalid_rows": 2,
-        "quarantined_rows": 2,
+# What breaks each rule alone, in the order in which a row lists what it breaks.
+BREAKS = {
+    "invalid_created_at": {"created_at": "tomorrow"},
+    "invalid_started_at": {"started_at": "half past six"},
+    "invalid_completed_at": {"completed_at": "2031-02-30"},
+    "invalid_due_at": {"due_at": "2031"},
+    "empty_workflow_id": {"workflow_id": " \t"},
+    "invalid_status": {"status": "parked"},
+    "invalid_priority": {"priority": ""},
+    "completed_before_created": {"completed_at": "2031-03-10T05:59:59Z", "started_at": ""},
+    "due_before_created": {"due_at": "2031-03-10T05:59:59.5Z"},
+}
+
+
+def test_every_rule_alone_and_several_together(spark):
+    codes = list(BREAKS)
+    together = [codes[1:3] + codes[4:7], codes[:1] + codes[3:6], codes[4:]]
+    broken = [[code] for code in codes] + together
+    rows = [{k: v for code in row for k, v in BREAKS[code].items()} for row in broken]
+    checked = validate(events(spark, *[event(**changes) for changes in rows], event(), event())).staged()
+    found = {r.source_row_number: r.validation_errors for r in checked.invalid.collect()}
+    assert found == {i: row for i, row in enumerate(broken, 1)}
+    assert [r.validation_errors for r in checked.valid.collect()] == [[], []]
+    summary = checked.summary.first().asDict()
+    assert summary == {
+        "input_rows": len(rows) + 2,
+        "valid_rows": 2,
+        "invalid_rows": len(rows),
+        "quarantined_rows": len(rows),
     }
-    valid = checked.valid.first()
-    assert (valid.status, valid.priority, valid.validation_errors) == ("completed", "medium", [])
-    errors = [r.validation_errors for r in checked.invalid.orderBy("source_row_number").collect()]
-    assert errors == [
-        ["invalid_status"],
-        [
-            "invalid_started_at",
-            "empty_workflow_id",
-            "invalid_priority",
-            "completed_before_created",
-            "due_before_created",
-        ],
-    ]
 
 
 def test_text_and_flags(spark):
