@@ -17,6 +17,10 @@ the host; tokens with equal vectors form an equivalence class.
   adverts, forms, scripts, styles and reader comments are dropped with all below them; a page that marks its
   article (article, main, or the role or property of either) keeps what it marks, also below a class word. A
   class word other than one for comments is overruled where it marks most of the differing text.
+* Inside a marked article a class or id word only proposes: its element is dropped if the host shows it again
+  in other contents. Headings and list items propose nothing, nor does an id that spells the heading it opens
+  with (a chapter "Related work"). Hosts with few contents drop what a class, or an id for comments, proposes.
+* A form that holds the article, or most text of a page without a marked one, is only a container.
   Other pages take all slots whose text differs; hosts with few contents also take what is the same in the
   lowest common container of those.
 
@@ -45,6 +49,7 @@ from flowledger.operators.numbering import stage
 SUPPORT = 0.5  # share of a host's pages a template token occurs in, and of its contents a template block
 SIZE = 3  # roles in a class that is not on every page, at least
 REPEATED_PAGES = 4  # a block must return in that many contents at least to belong to the template
+RECURS = 0.01  # share of a host's contents, but two at least, that show an element beside the article again
 
 DEPTH = 512  # paths end there; elements nested deeper than browsers do have the path of the last
 
@@ -70,7 +75,7 @@ _SCOPE = frozenset("article aside body dl div form html main nav ol section tabl
 _NO_P = _BLOCKS - frozenset("body head html li dd dt tr td th tbody thead tfoot caption option".split())
 _CONTAINERS = frozenset("article body center div main section td".split())
 _ASIDE_TAGS = frozenset(
-    "aside button dialog footer form head iframe input label menu nav noscript object script select "
+    "aside button dialog footer head iframe input label menu nav noscript object script select "
     "style svg template textarea title".split()
 )
 _ASIDE_ROLES = frozenset(
@@ -85,34 +90,66 @@ _ASIDE_WORDS = frozenset(
 )
 _TALK_WORDS = frozenset("comment comments discussion disqus replies reply".split())  # may outweigh the article
 _ARTICLE_TAGS = frozenset(["article", "main"])
+_ITEMS = frozenset("h1 h2 h3 h4 h5 h6 li dt dd tr td th".split())  # their words propose nothing in an article
 
+# A comment, a declaration, a tag, or (last group) the start of a tag without an end. Quotes count only behind
+# an equals sign, and only if they are closed.
+_OTHER = r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+_NAME = r"<(/?)([a-zA-Z][^\s/>]*+)"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+    rf"{_OTHER}|{_NAME}((?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>|(</?[a-zA-Z])", re.S
 )
+_LOOSE = re.compile(rf"{_OTHER}|{_NAME}([^>]*+)>|(</?[a-zA-Z])", re.S)  # the same where no quote counts
+_DECLARED = re.compile("<[!?]")
 _NEXT_BLOCK = re.compile(f"</?(?:{'|'.join(sorted(_BLOCKS - {'option'}))})(?=[\\s/>])", re.I)
-_ATTRIBUTE = re.compile(r"([\w-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+_ATTRIBUTE = re.compile(r"([\w-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 _WORD = re.compile(r"[a-z]+")
+_DIGITS = re.compile(r"\d+")
 # Flags of a path: an article; beside it by tag or role; beside it by a word of a class or id, and by one for
-# reader comments; an article mark on or below an element with such a word, which does not overrule it.
-_ARTICLE, _ASIDE, _WORDED, _TALK, _LIFTED = 1, 2, 4, 8, 16
+# reader comments; an article mark on or below an element with such a word, which does not overrule it; in a form.
+_ARTICLE, _ASIDE, _WORDED, _TALK, _LIFTED, _FORM = 1, 2, 4, 8, 16, 32
 
 
-class _Element:
-    """An open element: its path and which of that path on the page it is, whether the path leads into an
-    article or beside it, the paths of the elements on it whose words say beside, and the element above."""
+class _Proposal:
+    """An element of a page that class or id words propose to drop from inside a marked article: how the host's
+    other contents would write it, its id if only that has such a word, and whether the words name comments
+    or are of a class."""
+
+    __slots__ = ("key", "name", "sure")
 
-    __slots__ = ("tag", "path", "number", "flags", "words", "above", "holder")
+    def __init__(self, key: str, name: str, sure: bool):
+        self.key, self.name, self.sure = key, name, sure
 
-    def __init__(self, tag: str, path: str, number: int, flags: int, words: tuple[str, ...], above: _Element | None):
-        self.tag, self.path, self.number, self.flags, self.words, self.above = tag, path, number, flags, words, above
+
+class _Element:
+    """An open element: its path and which of that path on the page it is, whether the path leads into an
+    article or beside it, the paths of the elements on it whose words say beside, those whose words propose
+    so below the article mark, and the element above."""
+
+    __slots__ = ("tag", "path", "number", "flags", "words", "inner", "above", "holder")
+
+    def __init__(
+        self,
+        tag: str,
+        path: str,
+        number: int,
+        flags: int,
+        words: tuple[str, ...],
+        inner: tuple[_Proposal, ...],
+        above: _Element | None,
+    ):
+        self.tag, self.path, self.number, self.flags = tag, path, number, flags
+        self.words, self.inner, self.above = words, inner, above
         # inline elements do not tell blocks apart
         self.holder: _Element = self if above is None or tag in _BLOCKS else above.holder
 
 
-def _marks(tag: str, rest: str) -> tuple[str, int, bool]:
-    """How an opening tag is written in a path, its own flags, and whether `header` is its only word."""
-    label, flags = tag, 0
+def _marks(tag: str, rest: str) -> tuple[str, int, bool, str, bool]:
+    """How an opening tag is written in a path, its own flags, whether `header` is its only word, its id, and
+    whether a class, or nothing but words for comments, says beside."""
+    label, flags, name_ = tag, 0, ""
     words: set[str] = set()
+    by_class = False
     roles: set[str] = set()
     if "=" in rest:
         for name, value in _ATTRIBUTE.findall(rest):
@@ -120,19 +157,25 @@ def _marks(tag: str, rest: str) -> tuple[str, int, bool]:
             if name in ("class", "id", "role", "itemprop"):
                 label += f"[{name}={' '.join(sorted(value.split()))}]"
             if name in ("class", "id"):
-                words.update(_WORD.findall(value))
+                words.update(own := _WORD.findall(value))
+                by_class |= name == "class" and not _ASIDE_WORDS.isdisjoint(own)
+            if name == "id":
+                name_ = value
             elif name in ("role", "itemprop"):
                 roles.update(value.split())
     if tag in _ARTICLE_TAGS or roles & {"main", "article", "articlebody"}:
         flags = _ARTICLE
     if tag in _ASIDE_TAGS or roles & _ASIDE_ROLES:
         flags = _ASIDE
+    elif tag == "form":
+        flags |= _FORM
+    sure = by_class or bool(words) and words <= _TALK_WORDS
     words = words & _ASIDE_WORDS if tag not in ("body", "html") else set()
     if words & _TALK_WORDS:
         flags |= _TALK
     elif words:
         flags |= _WORDED
-    return label, flags, words == {"header"}
+    return label, flags, words == {"header"}, name_, sure
 
 
 def _entered(above: int, own: int, header: bool) -> int:
@@ -140,8 +183,10 @@ def _entered(above: int, own: int, header: bool) -> int:
     if above & _ARTICLE and header:
         own &= ~_WORDED  # the header of an article is not that of the page
     flags = above | own
-    if own & _ARTICLE and flags & (_WORDED | _TALK):
-        flags = flags & ~_WORDED | _LIFTED
+    if own & _ARTICLE:
+        flags = flags & ~_FORM | own & _FORM
+        if flags & (_WORDED | _TALK):
+            flags = flags & ~_WORDED | _LIFTED
     return flags
 
 
@@ -149,10 +194,11 @@ def blocks(page: str) -> tuple[Counter, list[tuple[_Element, str]]]:
     """Tokens of a page with their counts, and its text blocks with the elements they lie in."""
     tokens: Counter = Counter()
     found: list[tuple[_Element, str]] = []
-    root = _Element("", "", 1, 0, (), None)
+    root = _Element("", "", 1, 0, (), (), None)
+    pattern, endless = _TOKEN, set()  # tags that have no end tag in the rest of the page
     open_, text, at = [root], [], 0
     opened: Counter = Counter()  # open elements by tag
-    known: dict[tuple[str, str], tuple[str, int, bool]] = {}
+    known: dict[tuple[str, str], tuple[str, int, bool, str, bool]] = {}
 
     def end_block():
         if text:
@@ -174,10 +220,17 @@ def blocks(page: str) -> tuple[Counter, list[tuple[_Element, str]]]:
 
     size = len(page)
     while at < size:
-        token = _TOKEN.search(page, at)
+        token = pattern.search(page, at)
         if token is None:
             text.append(page[at:])
             break
+        if token[4] is not None:  # a tag without an end
+            if pattern is _TOKEN:  # one that its quotes hide: from here on, none counts
+                pattern = _LOOSE
+                continue
+            rest = _DECLARED.search(page, at)  # no tag can follow
+            text.append(page[at : rest.start() if rest else size])
+            break
         if token.start() > at:
             text.append(page[at : token.start()])
         at = token.end()
@@ -197,15 +250,21 @@ def blocks(page: str) -> tuple[Counter, list[tuple[_Element, str]]]:
                 close(_CLOSES[tag], _SCOPE - _CLOSES[tag])
         if (marks := known.get((tag, token[3]))) is None:
             marks = known[tag, token[3]] = _marks(tag, token[3])
-        label, own, header = marks
+        label, own, header, name, sure = marks
         above = open_[-1]
+        inside = above.flags & _ARTICLE
+        if inside and tag in _ITEMS:
+            own &= ~(_WORDED | _TALK)
         path, flags = f"{above.path}>{label}", _entered(above.flags, own, header)
-        words = above.words
+        words, inner = above.words, above.inner
         if own & _ARTICLE:
-            words = ()
-        elif own & _WORDED and not (header and above.flags & _ARTICLE):
-            words += (path,)
-        if tag == "header" and not above.flags & _ARTICLE:
+            words = inner = ()
+        elif own & (_WORDED | _TALK) and not (header and inside):
+            if own & _WORDED:
+                words += (path,)
+            if inside:
+                inner += (_Proposal(_DIGITS.sub("0", label), "" if sure else name, sure),)
+        if tag == "header" and not inside:
             flags |= _ASIDE  # a page's own header, not that of an article
         tokens[path] += 1
         if tag == "br":
@@ -213,18 +272,21 @@ def blocks(page: str) -> tuple[Counter, list[tuple[_Element, str]]]:
         if tag in _VOID or token[3].endswith("/"):
             continue
         if tag in _RAW:  # what it holds is no markup
-            end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
-            if end is None and tag in ("svg", "select"):  # never closed: ends where page text goes on
-                end = _NEXT_BLOCK.search(page, at)
-                at = end.start() if end else size
-                continue
-            at = end.end() if end else size
+            end = None if tag in endless else re.compile(f"</{tag}\\b", re.I).search(page, at)
+            closed = page.find(">", end.end()) + 1 if end else 0
+            if not closed:
+                endless.add(tag)
+                if tag in ("svg", "select"):  # never closed: ends where page text goes on
+                    end = _NEXT_BLOCK.search(page, at)
+                    at = end.start() if end else size
+                    continue
+            at = closed or size
             continue
         opened[tag] += 1
         if len(open_) < DEPTH:
-            open_.append(_Element(tag, path, tokens[path], flags, words, above))
+            open_.append(_Element(tag, path, tokens[path], flags, words, inner, above))
         else:  # a path that grew no further; end tags and marks count at any depth
-            open_.append(_Element(tag, above.path, above.number, flags, words, above))
+            open_.append(_Element(tag, above.path, above.number, flags, words, inner, above))
     end_block()
     return tokens, found
 
@@ -346,28 +408,62 @@ def slots_of(found: list[tuple[_Element, str]], frame: set[int]) -> list[str]:
     return out
 
 
-def article_blocks(found: list[tuple[_Element, str]]) -> tuple[list[tuple[_Element, str]], bool]:
-    """The blocks the article is picked from, and whether the page itself says where it is."""
-    kept = [(e, block) for e, block in found if not e.flags & _ASIDE]
-    plain = [p for p in kept if p[0].flags & _ARTICLE and not p[0].flags & (_WORDED | _TALK | _LIFTED)]
-    lifted = [p for p in kept if p[0].flags & _LIFTED and not p[0].flags & (_WORDED | _TALK)]
-    if sum(len(block) for _, block in lifted) > sum(len(block) for _, block in plain):
-        both = {id(p) for p in plain} | {id(p) for p in lifted}
-        return [p for p in kept if id(p) in both], True
+def _slug(text: str) -> str:
+    return "".join(c for c in text.lower() if c.isalnum())
+
+
+def proposals(found: list[tuple[_Element, str]]) -> dict[_Proposal, list[str]]:
+    """The blocks of each element that its words propose to drop, but for those that open with their own name."""
+    texts: dict[_Proposal, list[str]] = {}
+    for e, block in found:
+        if not e.flags & _ASIDE:
+            for p in e.inner:
+                texts.setdefault(p, []).append(block)
+    return {p: t for p, t in texts.items() if not p.name or _slug(t[0]) != _slug(p.name)}
+
+
+def article_blocks(
+    found: list[tuple[_Element, str]], beside: set[int] = frozenset()
+) -> tuple[list[tuple[_Element, str]], bool]:
+    """The blocks the article is picked from, and whether the page itself says where it is.
+
+    `beside` has the numbers of the proposed elements that the host drops.
+    """
+    gone = {p for p in proposals(found) if _number(p.key) in beside} if beside else set()
+    free = [(e, block) for e, block in found if not e.flags & _ASIDE and gone.isdisjoint(e.inner)]
+    kept = [p for p in free if not p[0].flags & _FORM]
+
+    def is_plain(e: _Element) -> bool:
+        return bool(e.flags & _ARTICLE) and not e.flags & _LIFTED and (bool(e.inner) or not e.flags & (_WORDED | _TALK))
+
+    def is_lifted(e: _Element) -> bool:
+        return bool(e.flags & _LIFTED) and (bool(e.inner) or not e.flags & (_WORDED | _TALK))
+
+    plain = [p for p in kept if is_plain(p[0])]
+    if sum(len(block) for e, block in kept if is_lifted(e)) > sum(len(block) for _, block in plain):
+        return [p for p in kept if is_plain(p[0]) or is_lifted(p[0])], True
     if plain:
         return plain, True
+    if sum(len(block) for _, block in free) > 2 * sum(len(block) for _, block in kept):
+        kept = free  # the page lies in a form
     talk = [p for p in kept if p[0].flags & _LIFTED and not p[0].flags & _WORDED]
     other = [p for p in kept if not p[0].flags & (_TALK | _LIFTED)]
     return (talk, True) if talk and not any(not e.flags & _WORDED for e, _ in other) else (other, False)
 
 
 def _page_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page: a hash of all blocks, those of the different blocks, and its slots with a hash of their text."""
+    """Per page: a hash of all blocks, those of the different blocks, its slots with a hash of their text, and
+    the elements that propose to be dropped."""
     for batch in batches:
-        out: list[list] = [[] for _ in range(4)]
+        out: list[list] = [[] for _ in range(5)]
         names = ("host", "html", "frame")
         for host, page, frame in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-            found, marked = article_blocks(blocks(page or "")[1])
+            every = blocks(page or "")[1]
+            found, marked = article_blocks(every)
+            proposed: dict[int, bool] = {}
+            for p in proposals(every):
+                key = _number(p.key)
+                proposed[key] = proposed.get(key, False) or p.sure
             texts: dict[tuple[str, str], list[str]] = {}
             for slot, (e, block) in zip(slots_of(found, set(frame or [])), found, strict=True):
                 texts.setdefault((slot, e.words[-1] if e.words else ""), []).append(block)
@@ -376,11 +472,13 @@ def _page_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for (k, w), v in sorted(texts.items())
             ]
             whole = _number("\n".join(block for _, block in found))
-            row = (host, whole, [_number(b) for b in dict.fromkeys(b for _, b in found)], slots)
+            beside = [{"key": k, "sure": v} for k, v in sorted(proposed.items())]
+            row = (host, whole, [_number(b) for b in dict.fromkeys(b for _, b in found)], slots, beside)
             for column, value in zip(out, row, strict=True):
                 column.append(value)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(out, _SLOT_TYPES, strict=True)], ["host", "content", "blocks", "slots"]
+            [pa.array(c, t) for c, t in zip(out, _SLOT_TYPES, strict=True)],
+            ["host", "content", "blocks", "slots", "beside"],
         )
 
 
@@ -393,10 +491,12 @@ _SLOT_TYPES = [
             [("slot", pa.string()), ("words", pa.string()), ("marked", pa.bool_()), ("text", pa.int64()), ("chars", pa.int64())]
         )
     ),
+    pa.list_(pa.struct([("key", pa.int64()), ("sure", pa.bool_())])),
 ]
 _SLOTS = (
     "host string, content bigint, blocks array<bigint>, "
-    "slots array<struct<slot:string,words:string,marked:boolean,text:bigint,chars:bigint>>"
+    "slots array<struct<slot:string,words:string,marked:boolean,text:bigint,chars:bigint>>, "
+    "beside array<struct<key:bigint,sure:boolean>>"
 )
 
 
@@ -461,7 +561,8 @@ def _decided_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per host: its frame, the class words to overrule, its slots of template text, and blocks most contents share.
+    """Per host: its frame, the class words to overrule, its slots of template text, blocks most contents share,
+    and the elements beside the article inside of it.
 
     Copies of one content count once, else the article that most pages copy would be taken for template.
     """
@@ -473,7 +574,7 @@ def templates(pages: DataFrame) -> DataFrame:
         .mapInArrow(_frame_rows, "host string, frame array<bigint>")
     )
     found = pages.join(frames, "host", "left").mapInArrow(_page_slots, _SLOTS)
-    first = F.min(F.struct("blocks", "slots")).alias("first")
+    first = F.min(F.struct("blocks", "slots", "beside")).alias("first")
     contents = stage(found.groupBy("host", "content").agg(first).select("host", "first.*"))
     sizes = contents.groupBy("host").agg(F.count("*").alias("host_contents"))
     shared = (
@@ -501,7 +602,20 @@ def templates(pages: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("slot", "words", "marked", "contents", "least", "most", "chars")).alias("slots"))
         .mapInArrow(_decided_rows, "host string, lifted string, fixed array<string>")
     )
-    return stage(frames.join(decided, "host", "left").join(shared, "host", "left"))
+    again = F.col("contents") >= F.greatest(F.lit(2), F.col("host_contents") * F.lit(RECURS))
+    beside = (
+        contents.select("host", F.inline("beside"))
+        .groupBy("host", "key")
+        .agg(F.count("*").alias("contents"), F.bool_or("sure").alias("sure"))
+        .join(sizes, "host")
+        .where(again | (F.col("sure") & (F.col("host_contents") < REPEATED_PAGES)))
+        .groupBy("host")
+        .agg(F.collect_list("key").alias("beside"))  # at most 1 / RECURS times those of an average page
+    )
+    found = sizes.select("host")  # a host need not have a frame
+    for part in (frames, decided, shared, beside):
+        found = found.join(part, "host", "left")
+    return stage(found)
 
 
 def main_text(
@@ -510,8 +624,9 @@ def main_text(
     lifted: str | None,
     fixed: list[str] | None,
     repeated: list[int] | None,
+    beside: list[int] | None = None,
 ) -> str:
-    found, marked = article_blocks(blocks(page or "")[1])
+    found, marked = article_blocks(blocks(page or "")[1], set(beside or []))
     gone, same = set(repeated or []), set(fixed or [])
     if not marked:
         found = [p for p in found if all(_below(lifted or "", w) for w in p[0].words)]
@@ -525,11 +640,13 @@ def extract(pages: DataFrame) -> DataFrame:
     """`pages` (with url and html) with `text` and `n_chars` (its code points)."""
 
     @F.arrow_udf("string")
-    def text_of(html: pa.Array, frame: pa.Array, lifted: pa.Array, fixed: pa.Array, repeated: pa.Array) -> pa.Array:
-        rows = zip(html, frame, lifted, fixed, repeated, strict=True)
+    def text_of(
+        html: pa.Array, frame: pa.Array, lifted: pa.Array, fixed: pa.Array, repeated: pa.Array, beside: pa.Array
+    ) -> pa.Array:
+        rows = zip(html, frame, lifted, fixed, repeated, beside, strict=True)
         return pa.array([main_text(*(x.as_py() for x in row)) for row in rows], pa.string())
 
     rows = wrapped(pages, host_of().alias("host"), F.monotonically_increasing_id().alias("page"), "html")
     found = rows.drop("page").join(templates(rows.drop("row")), "host", "left")
-    text = found.withColumn("text", text_of("html", "frame", "lifted", "fixed", "repeated"))
+    text = found.withColumn("text", text_of("html", "frame", "lifted", "fixed", "repeated", "beside"))
     return unwrapped(text.withColumn("n_chars", F.char_length("text").cast("bigint")), *RESULT)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -140,6 +141,55 @@ def test_unclosed_and_deep_elements(page, text):
     assert ht.main_text(page, None, None, None, None) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><h2 id='related-work'>Related work</h2><p>Body text</p></article>", "Related work Body text"),
+        ("<article><section id=search>A long body</section><p>x</p></article>", "A long body x"),
+        ("<article><ul><li class='menu-item'>Soup</ul></article>", "Soup"),
+        ("<p title=it's>Hello</p>", "Hello"),
+        ("<p title=a\"b>Hello</p><p title='>'>you</p><p x = \">\" y>there", "Hello you there"),
+        ('<p>One<a href="x>two</a><p>three', "Onetwo three"),  # a quote that never closes ends with its tag
+        ("<body><form><h1>Title</h1><p>Text</p></form></body>", "Title Text"),
+        ("<form><article>Text<form><p>Your name</form></article><p>Beside</form>", "Text"),
+        ("<p>Text<form><p>Mail</form>", "Text"),
+        ("<p>a < b <c", "a < b <c"),
+        ("<p>One<a x='>' <a x='>' y", "One' ' y"),  # quotes that hide all tag ends do not count
+    ],
+)
+def test_quotes_forms_and_words_of_single_pages(page, text):
+    assert ht.main_text(page, None, None, None, None) == text
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a x=\">\" ", "<svg><p>", "</svg ", "<!-", "<a x='"])
+def test_broken_markup_takes_linear_time(part):
+    began = time.perf_counter()
+    ht.main_text("<p>One" + part * (1_000_000 // len(part)), None, None, None, None)
+    assert time.perf_counter() - began < 10
+
+
+def test_words_inside_a_marked_article(spark):
+    chapter = "<section id={id}><h2>{title}</h2><p>Words {i} of {title}</p></section>"
+    page = (
+        "<article id=post-{i} class='post tag-{i}'><h1>Title {i}</h1>{chapter}<div class='share-{i}'>Share {i}</div>"
+        "{once}<div id=related><h3>More</h3><p>Story {j}</p></div><section id=comments><h2>Comments</h2><p>I like {i}</p>"
+        "</section></article>"
+    )
+    chapters = {"search": "Search", "related-work": "Related work", "notices": "Notices", "reply": "Reply"}
+    rows, want = [], {}
+    for i in range(8):
+        name = list(chapters)[i % 3]  # every chapter stands on several pages
+        once = "<div class=banner>The banner of Rome</div>" if i == 5 else ""
+        told = chapter.format(id=name, title=chapters[name], i=i)
+        rows.append((i, f"http://p.example/{i}", page.format(i=i, j=i + 1, chapter=told, once=once)))
+        want[i] = f"Title {i} {chapters[name]} Words {i} of {chapters[name]}" + (" The banner of Rome" if once else "")
+    assert extracted(spark, rows) == want
+    few = {i: text.replace(" The banner of Rome", "") for i, text in want.items() if i < 2}
+    got = extracted(spark, rows[:2])
+    assert got == few
+    assert extracted(spark, rows[5:6])[5] == want[5].replace(" The banner of Rome", "") + " More Story 6"
+
+
 def test_equivalence_classes(spark):
     rows = [(f"<html><body><h1>a</h1><ul>{'<li>x' * n}</ul></body></html>", n) for n in (1, 2, 3, 2)]
     pages = spark.createDataFrame([("h", n, i, p) for i, (p, n) in enumerate(rows)], "host string, n int, page bigint, html string")
