@@ -37,7 +37,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -71,6 +71,7 @@ _CLOSES = {  # an opening tag ends the open one it cannot lie in
     "th": frozenset(["td", "th"]),
     "option": frozenset(["option"]),
 }
+_PARAGRAPH = frozenset(["p"])
 _SCOPE = frozenset("article aside body dl div form html main nav ol section table td ul".split())
 _NO_P = _BLOCKS - frozenset("body head html li dd dt tr td th tbody thead tfoot caption option".split())
 _CONTAINERS = frozenset("article body center div main section td".split())
@@ -94,12 +95,11 @@ _ITEMS = frozenset("h1 h2 h3 h4 h5 h6 li dt dd tr td th".split())  # their words
 
 # A comment, a declaration, a tag, or (last group) the start of a tag without an end. Quotes count only behind
 # an equals sign, and only if they are closed.
-_OTHER = r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-_NAME = r"<(/?)([a-zA-Z][^\s/>]*+)"
-_TOKEN = re.compile(
-    rf"{_OTHER}|{_NAME}((?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>|(</?[a-zA-Z])", re.S
-)
-_LOOSE = re.compile(rf"{_OTHER}|{_NAME}([^>]*+)>|(</?[a-zA-Z])", re.S)  # the same where no quote counts
+_OTHER = r"!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)"
+_NAME = r"(/?)([a-zA-Z][^\s/>]*)"
+_QUOTED = r"=\s*(?:\"[^\"]*\"|'[^']*')?+"
+_TOKEN = re.compile(rf"<(?:{_OTHER}|{_NAME}([^=>]*+(?:{_QUOTED}[^=>]*+)*+)>|(/?[a-zA-Z]))", re.S)
+_LOOSE = re.compile(rf"<(?:{_OTHER}|{_NAME}([^>]*+)>|(/?[a-zA-Z]))", re.S)  # the same where no quote counts
 _DECLARED = re.compile("<[!?]")
 _NEXT_BLOCK = re.compile(f"</?(?:{'|'.join(sorted(_BLOCKS - {'option'}))})(?=[\\s/>])", re.I)
 _ATTRIBUTE = re.compile(r"([\w-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
@@ -202,17 +202,22 @@ def blocks(page: str) -> tuple[Counter, list[tuple[_Element, str]]]:
 
     def end_block():
         if text:
-            block = " ".join(entities.unescape("".join(text)).split())
+            block = "".join(text)
+            block = " ".join((entities.unescape(block) if "&" in block else block).split())
             text.clear()
             if block:
                 found.append((open_[-1].holder, block))
 
-    def close(tags: frozenset, stop: frozenset):
-        if not any(opened[t] for t in tags):
+    def close(tags: Collection[str], stop: Collection[str]):
+        for tag in tags:
+            if opened[tag]:
+                break
+        else:
             return
         for i in range(len(open_) - 1, 0, -1):
             if open_[i].tag in tags:
-                opened.subtract(e.tag for e in open_[i:])
+                for e in open_[i:]:
+                    opened[e.tag] -= 1
                 del open_[i:]
                 return
             if open_[i].tag in stop:
@@ -240,12 +245,13 @@ def blocks(page: str) -> tuple[Counter, list[tuple[_Element, str]]]:
         if token[1]:
             if tag in _BLOCKS:
                 end_block()
-            close(frozenset([tag]), frozenset())
+            if opened[tag]:
+                close((tag,), ())
             continue
         if tag in _BLOCKS:
             end_block()
             if tag in _NO_P:
-                close(frozenset(["p"]), _SCOPE)
+                close(_PARAGRAPH, _SCOPE)
             if tag in _CLOSES:
                 close(_CLOSES[tag], _SCOPE - _CLOSES[tag])
         if (marks := known.get((tag, token[3]))) is None:
