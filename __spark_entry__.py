@@ -6,7 +6,7 @@ import pathlib
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
 
@@ -363,6 +363,27 @@ def _csv_source_rows(spark, sf_dir):
     ))
 
 
+def _csv_multiline(spark, sf_dir):
+    """Files without lineage in which every third queue name holds line breaks, commas and quotes."""
+
+    def build():
+        path = scratch_path(spark, "csv")
+        number = F.col("source_row_number")
+        broken = F.concat(F.lit('Queue\n"'), F.lower("source_file_name"), F.lit('",\r\n\n'), number, F.lit('\n"'))
+        cell = F.when(number.cast("bigint") % 3 == 0, broken).otherwise(F.col("queue_name"))
+        rows = _source(spark, sf_dir).withColumns({"queue_name": cell, "place": number})
+        rows = rows.drop(*_SOURCE_KEY).withColumnRenamed("place", "delivered_row")
+        as_is = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        rows.write.options(header=True, escape='"', **as_is).csv(path)
+        return path
+
+    path = _once(spark, sf_dir, "csv with line breaks", build)
+    rows = read_workflow_csv(spark, path)
+    own = F.row_number().over(Window.partitionBy("source_file_name").orderBy(F.col("source_row_number").cast("bigint")))
+    consecutive = (own == F.col("source_row_number").cast("bigint")).alias("consecutive")
+    return rows.select("workflow_id", "queue_name", "delivered_row", "payload", consecutive)
+
+
 def _csv_lineage(spark, sf_dir):
     """Files without lineage: rows in all, and whether the numbers of every file run from 1 to n."""
     rows = read_workflow_csv(spark, _as_csv(spark, sf_dir, *_SOURCE_KEY))
@@ -594,6 +615,7 @@ def queries() -> dict[str, Query]:
         "dashboard": _report(_dashboard),
         "csv_source_rows": _csv_source_rows,
         "csv_lineage": _csv_lineage,
+        "csv_multiline": _csv_multiline,
         "quarantine_csv": _quarantine_csv,
         "append_once": _append_once,
         "raw_key_map": _raw_key_map,

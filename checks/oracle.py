@@ -608,6 +608,15 @@ def oracle_sql() -> dict[str, str]:
     # loads
     q["csv_source_rows"] = q["normalized_source"]
     q["csv_lineage"] = chain(SOURCE, "SELECT count(*) AS n_rows, true AS consecutive FROM src")
+    q["csv_multiline"] = chain(
+        SOURCE,
+        """SELECT nullif(workflow_id, '') AS workflow_id, nullif(payload, '') AS payload,
+           CASE WHEN source_row_number::BIGINT % 3 = 0
+             THEN 'Queue' || chr(10) || '"' || lower(source_file_name) || '",' || chr(13) || chr(10) || chr(10)
+               || source_row_number || chr(10) || '"'
+             ELSE nullif(queue_name, '') END AS queue_name,
+           source_row_number::VARCHAR AS delivered_row, true AS consecutive FROM src""",
+    )
     q["quarantine_csv"] = chain(
         CHECKED,
         """SELECT source_file_name, source_row_number, workflow_id,
