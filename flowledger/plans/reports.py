@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from flowledger.constants import DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE
 from flowledger.operators.keyed import pick_one
+from flowledger.operators.numbering import stage
 
 Tables = Mapping[str, DataFrame]
 Day = date | str | None
@@ -326,10 +327,10 @@ def exceptions(
 def workflow_exceptions(tables: Tables, workflow_id: str) -> DataFrame:
     """All open exceptions of one workflow; raises NotFound if it has none."""
     rows = _equal(open_exceptions(tables), workflow_id=workflow_id)
-    return _found(
-        rows.orderBy(*[key.column() for key in _EXCEPTION_ORDER]),
-        f"{workflow_id} has no open exceptions",
-    )
+    found = stage(rows)  # looked up once, for the test and for the answer
+    if found.isEmpty():
+        raise NotFound(f"{workflow_id} has no open exceptions")
+    return found.orderBy(*[key.column() for key in _EXCEPTION_ORDER])
 
 
 def backlog(
@@ -362,12 +363,6 @@ def latest_runs(tables: Tables) -> DataFrame:
     return pick_one(workflow_star(tables), ["workflow_id"], order).drop("workflow_run_key")
 
 
-def _found(rows: DataFrame, message: str) -> DataFrame:
-    if rows.isEmpty():
-        raise NotFound(message)
-    return rows
-
-
 def dashboard(
     tables: Tables,
     start: Day = None,
