@@ -21,6 +21,7 @@ from flowledger.operators.validation import (  # noqa: E402
     validate,
 )
 from flowledger.plans import loads, pipeline, reports  # noqa: E402
+from flowledger.plans.sql_functions import register_functions  # noqa: E402
 from flowledger.plans.star import star_of  # noqa: E402
 from flowledger.session import configure, scratch_path  # noqa: E402
 from flowledger.sources import orders  # noqa: E402
@@ -254,6 +255,18 @@ def _summary(tables=_star, **filters) -> Query:
     return query
 
 
+def _from_sql(call: str) -> Query:
+    """A report over the loaded warehouse, asked for in SQL."""
+
+    def query(spark, sf_dir):
+        register_functions(_loaded(spark, sf_dir))
+        found = spark.sql(f"SELECT * FROM {call}")
+        means = [c for c, t in found.dtypes if t == "double"]
+        return _counts_as_bigint(_plain(found.withColumns({c: F.round(c, 6) for c in means})))
+
+    return query
+
+
 def _dashboard(tables):
     panels = reports.dashboard(tables)
     daily, exceptions, summary = panels["daily"], panels["exceptions"], panels["summary"]
@@ -599,6 +612,21 @@ def queries() -> dict[str, Query]:
         "stored_workflow_detail": _report(
             lambda t: reports.workflow_detail(t, "WF-00000007"), _loaded
         ),
+        "sql_kpi_summary": _from_sql(
+            "kpi_summary(DATE'1997-01-01', DATE'1999-06-30', 'RiskOps', 'RefundReview')"
+        ),
+        "sql_team_performance": _from_sql(
+            "team_performance(team => 'CustomerCare', start_day => DATE'1998-01-01') "
+            "ORDER BY calendar_date DESC, workflow_type LIMIT 20 OFFSET 40"
+        ),
+        "sql_exceptions": _from_sql(
+            "exceptions(team => 'PaymentsOps') ORDER BY detected_date DESC, workflow_id LIMIT 50 OFFSET 100"
+        ),
+        "sql_backlog": _from_sql(
+            "backlog(DATE'1996-01-01', team => 'ClaimsReview') "
+            "ORDER BY calendar_date DESC, team_name, workflow_type, priority_name LIMIT 50"
+        ),
+        "sql_workflow_detail": _from_sql("workflow_detail('WF-00000007')"),
         "exceptions_page": _report(lambda t: reports.exceptions(t, team="PaymentsOps", page=3).rows),
         "exceptions_total": _report(
             lambda t: reports.exceptions(

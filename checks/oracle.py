@@ -604,6 +604,10 @@ def oracle_sql() -> dict[str, str]:
     for name in ("kpi_daily_page", "team_performance_page", "exceptions_page", "backlog_page", "workflow_detail"):
         q[f"stored_{name}"] = q[name]
     q["stored_kpi_summary"] = q["kpi_summary_filtered"]
+    q["sql_kpi_summary"] = q["kpi_summary_filtered"]
+    for name in ("team_performance", "exceptions", "backlog"):
+        q[f"sql_{name}"] = q[f"{name}_page"]
+    q["sql_workflow_detail"] = q["workflow_detail"]
 
     # loads
     q["csv_source_rows"] = q["normalized_source"]

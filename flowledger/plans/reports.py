@@ -145,19 +145,23 @@ def _slices(df: DataFrame, start: Day, end: Day) -> DataFrame:
 # --- stars ------------------------------------------------------------------------------------------
 
 
-def team_performance_daily(tables: Tables, start: Day = None, end: Day = None) -> DataFrame:
-    """The daily KPI mart with names; team and type may be missing."""
+def team_performance_daily(
+    tables: Tables, start: Day = None, end: Day = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """The daily KPI mart with names; team and type may be missing. `keys` are stored columns to keep."""
     mart = _slices(tables["kpi_daily_summary"], start, end)
     joined = (
         mart.join(tables["dim_date"], "date_key")
         .join(tables["dim_team"], "team_key", "left")
         .join(tables["dim_workflow_type"], "workflow_type_key", "left")
     )
-    named = joined.select("calendar_date", "team_name", "workflow_type", *MEASURES)
+    named = joined.select("calendar_date", "team_name", "workflow_type", *MEASURES, *keys)
     return _between_days(named, "calendar_date", start, end)
 
 
-def open_exceptions(tables: Tables, start: Day = None, end: Day = None) -> DataFrame:
+def open_exceptions(
+    tables: Tables, start: Day = None, end: Day = None, keys: Sequence[str] = ()
+) -> DataFrame:
     facts = _slices(tables["fact_exception"].where("open_flag"), start, end)
     named = (
         facts.join(tables["dim_date"], "date_key")
@@ -174,12 +178,15 @@ def open_exceptions(tables: Tables, start: Day = None, end: Day = None) -> DataF
             "status_name",
             "error_count",
             "open_flag",
+            *keys,
         )
     )
     return _between_days(named, "detected_date", start, end)
 
 
-def backlog_star(tables: Tables, start: Day = None, end: Day = None) -> DataFrame:
+def backlog_star(
+    tables: Tables, start: Day = None, end: Day = None, keys: Sequence[str] = ()
+) -> DataFrame:
     facts = _slices(tables["fact_backlog_daily"], start, end)
     named = (
         facts.join(tables["dim_date"], "date_key")
@@ -194,6 +201,7 @@ def backlog_star(tables: Tables, start: Day = None, end: Day = None) -> DataFram
             "open_workflow_count",
             "overdue_workflow_count",
             "avg_age_hours",
+            *keys,
         )
     )
     return _between_days(named, "calendar_date", start, end)
