@@ -5,15 +5,21 @@ in lower case, and one end; the end also stands before the first word. The model
 whose CRC-32 of the id is not `HELD_OUT` modulo `FOLDS`; all documents are scored.
 
 * Words are counted over all training documents and stay a table that grows with the corpus.
-* Classes come from exchange clustering. What is exchanged are units: each of the most frequent words is
-  one, all others are bundled by their last letters, the end is one of its own. Each unit moves in turn to
-  the class that gives the class bigrams the highest likelihood, until no unit moves. The bigram counts of
-  units are the only thing the clustering needs, and have `UNITS`^2 cells whatever the corpus.
-* P(class | class) and P(word | class) add one to every count; each class has one place for unknown words.
-
-A word's own count enters base score and model score through log10(count + 1) alone, so one join gives
-both: a task looks up the words of at least some frequency, at most `FREQUENT`, in a table it holds, and
-sends on only the others, once per document, to be joined with the counts of all words.
+* Classes come from exchange clustering, in two steps. First units are exchanged: each of the most frequent
+  words is one, all others are bundled by their last letters, the end is one of its own. Each unit moves in
+  turn to the class that gives the class bigrams the highest likelihood, until no unit moves. The bigram
+  counts of units have `UNITS`^2 cells whatever the corpus.
+* Then every word that is not a unit of its own, however rare, leaves its bundle: the classes before and
+  behind it are counted over all training documents, and it moves to the class where the likelihood gains
+  most. These moves are made side by side, each against the class bigrams of the first step; a word has
+  2 * `CLASSES` + 1 counts at most, so a group is small however frequent its word.
+* P(class | class) and P(word | class) add one to every count; each class has one place for unknown words,
+  and a word unknown to training goes by its last letters.
+
+A task looks up count and class of the words of at least some frequency, at most `FREQUENT`, in a table it
+holds. It sends on the others with their places, to be joined with the table of all words; the classes found
+are filled in where they are missing in the document, one byte per token. Class bigrams are counted, and
+scores summed up, over these bytes.
 
 Words are known by a 64-bit hash of their bytes.
 
@@ -151,7 +157,9 @@ class Model:
     frequent: np.ndarray  # hashes in order
     counts: np.ndarray  # of the frequent words
     units: np.ndarray  # of the frequent words
+    groups: np.ndarray  # classes of the frequent words
     classes: np.ndarray  # of the units
+    pairs: np.ndarray  # bigrams of classes
     moves: np.ndarray  # log10 P(class | previous class)
     rooms: np.ndarray  # log10 of what divides count + 1 in P(word | class)
 
@@ -165,6 +173,15 @@ class Model:
         return np.where(at >= 0, self.units[at], unit), at
 
 
+    def group(self, hashes: np.ndarray, bundle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class of each token, that of its bundle if it is not among the frequent words; its place there or -1."""
+        at = self.unit(hashes, bundle)[1]
+        group = self.classes[bundle + OWN_UNITS]
+        if len(self.frequent):
+            group = np.where(at >= 0, self.groups[at], group)
+        return group, at
+
+
 def _bigrams(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     n = np.zeros(UNITS * UNITS, np.int64)
     for batch in _slices(batches):
@@ -238,7 +255,108 @@ def exchange_classes(bigrams: np.ndarray, classes: int = CLASSES, rounds: int =
     return found
 
 
-def _frequent_words(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_gains(
+    after: np.ndarray, before: np.ndarray, own: np.ndarray, old: np.ndarray, pairs: np.ndarray
+) -> np.ndarray:
+    """What the likelihood gains by adding each word alone to each class, the word taken out of its class `old`.
+
+    `after` and `before` count the classes behind and before each word, itself included; `own` counts how often
+    it follows itself. `pairs` are the class bigrams with all words where they are.
+    """
+    words, classes = np.arange(len(own)), pairs.shape[0]
+    weight = after.sum(axis=1)
+    after, before = after.copy(), before.copy()
+    after[words, old] -= own
+    before[words, old] -= own
+
+    def crossed(counts: np.ndarray, others: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        i, k = np.nonzero(counts)
+        n, cells = counts[i, k], pairs[:, k].T.copy()  # cells[e, class] = pairs[class, k[e]] without the word
+        cells[np.arange(len(i)), old[i]] -= n
+        same = np.flatnonzero(k == old[i])
+        cells[same] -= others[i[same]]
+        cells[same, old[i[same]]] -= own[i[same]]
+        gain = np.zeros((len(own), classes))
+        if len(i):
+            begin = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+            gain[i[begin]] = np.add.reduceat(_n_log_n(cells + n[:, None]) - _n_log_n(cells), begin)
+        return gain
+
+    gain = crossed(after, before, pairs) + crossed(before, after, pairs.T)
+    taken = np.zeros(after.shape, np.int64)
+    taken[words, old] = 1
+    cell = np.diagonal(pairs) - taken * (after + before + own[:, None])
+    gain += _n_log_n(cell + after + before + own[:, None]) + _n_log_n(cell)
+    gain -= _n_log_n(cell + after) + _n_log_n(cell + before)
+    for total in (pairs.sum(axis=1), pairs.sum(axis=0)):
+        left = total - taken * weight[:, None]
+        gain -= _n_log_n(left + weight[:, None]) - _n_log_n(left)
+    return gain
+
+
+def _contexts(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Classes behind (k) and before (classes + k) the words without a unit of their own; 2 * classes: themselves."""
+    classes = len(model.moves)
+    for batch in _slices(batches):
+        hashes, bundle, _ = tokens_of(batch.column("text"))
+        unit = model.unit(hashes, bundle)[0]
+        group = model.classes[unit]
+        before = np.r_[model.classes[-1], group[:-1]]
+        moving = np.flatnonzero((unit >= OWN_UNITS) & (unit < OWN_UNITS + END_BUNDLE))
+        again = moving[moving > 0]
+        again = again[hashes[again] == hashes[again - 1]]
+        word = np.r_[hashes[moving], hashes[moving], hashes[again]]
+        # the end is behind every text, so a word always has a token behind it
+        context = np.r_[group[moving + 1], classes + before[moving], np.full(len(again), 2 * classes)]
+        order = np.lexsort((context, word))
+        word, context = word[order], context[order]
+        new = np.flatnonzero(np.r_[len(word) > 0, (word[1:] != word[:-1]) | (context[1:] != context[:-1])][: len(word)])
+        n = np.diff(np.r_[new, len(word)])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(word[new]), pa.array(context[new], pa.int32()), pa.array(n, pa.int64())], ["word", "context", "n"]
+        )
+
+
+def _moved(batches: Iterator[pa.RecordBatch], model: Model, pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The class of each word after its move."""
+    classes = len(pairs)
+    for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+        word, bundle = (batch.column(c).to_numpy() for c in ("word", "bundle"))
+        old = model.classes[model.unit(word, bundle)[0]]
+        found = batch.column("found")
+        owner = np.repeat(np.arange(len(word)), found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        parts = found.flatten()
+        counts = np.zeros((len(word), 2 * classes + 1), np.int64)
+        counts[owner, parts.field("context").to_numpy()] = parts.field("n").to_numpy()
+        moves = np.flatnonzero(counts.any(axis=1))
+        counts, group = counts[moves], old.copy()
+        if len(moves):
+            after, before, own = counts[:, :classes], counts[:, classes:-1], counts[:, -1]
+            gain = word_gains(after, before, own, old[moves], pairs)[:, :-1]  # the end is alone in its class
+            best, rows = np.argmax(gain, axis=1), np.arange(len(moves))
+            group[moves] = np.where(gain[rows, best] > gain[rows, old[moves]] + 1e-9, best, old[moves])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("word"), batch.column("bundle"), batch.column("n"), pa.array(group, pa.int32())],
+            ["word", "bundle", "n", "group"],
+        )
+
+
+def classes_of_words(training: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
+    """(word, bundle, n, group), written: the class of every word of `training`, `model` being fitted to units."""
+    shared = training.sparkSession.sparkContext.broadcast((model, model.pairs))
+    rows = training.select("text").mapInArrow(
+        lambda b: _contexts(b, shared.value[0]), "word bigint, context int, n bigint"
+    )
+    # dealt by word, so that neither grouping nor the join moves rows again
+    rows = rows.repartition("word").groupBy("word", "context").agg(F.sum("n").alias("n"))
+    found = rows.groupBy("word").agg(F.collect_list(F.struct("context", "n")).alias("found"))
+    words = counts.join(found, "word", "left").select("word", "bundle", "n", "found")
+    return stage(
+        words.mapInArrow(lambda b: _moved(b, *shared.value), "word bigint, bundle int, n bigint, group int")
+    )
+
+
+def _frequent_words(counts: DataFrame, most: int, third: str = "bundle") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes in order, counts and bundles of all words from some frequency on, `most` at most."""
     level = F.floor(F.log2("n") * 16).cast("int")
     histogram = counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).collect()  # < 1100 rows
@@ -249,14 +367,14 @@ def _frequent_words(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarra
         total, least = total + row["words"], row["level"]
     if least is None:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
-    kept = counts.where(level >= least).select("word", "n", "bundle").toArrow()  # <= `most` rows
-    columns = [kept.column(c).to_numpy() for c in ("word", "n", "bundle")]
+    kept = counts.where(level >= least).select("word", "n", third).toArrow()  # <= `most` rows
+    columns = [kept.column(c).to_numpy() for c in ("word", "n", third)]
     order = np.argsort(columns[0])
     return tuple(c[order] for c in columns)
 
 
 def fit(training: DataFrame, counts: DataFrame, classes: int = CLASSES, frequent: int = FREQUENT) -> Model:
-    """`counts` (word, bundle, n) are the written counts of all words of `training`."""
+    """Classes of units; `counts` (word, bundle, n) are the written counts of all words of `training`."""
     bundles = {
         r["bundle"]: (r["n"], r["words"])
         for r in counts.groupBy("bundle").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
@@ -275,7 +393,8 @@ def fit(training: DataFrame, counts: DataFrame, classes: int = CLASSES, frequent
     unit_n[: len(own)], unit_words[: len(own)] = n[own], 1
 
     zero = np.zeros(UNITS, np.int64)
-    model = Model(tokens, words, hashes, n, units, zero, np.zeros((classes, classes)), np.zeros(classes))
+    none = np.zeros((classes, classes), np.int64)
+    model = Model(tokens, words, hashes, n, units, zero[:0], zero, none, none, np.zeros(classes))
     shared = training.sparkSession.sparkContext.broadcast(model)
     rows = training.select("text").mapInArrow(lambda b: _bigrams(b, shared.value), "pair bigint, n bigint")
     table = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most UNITS^2 rows
@@ -286,58 +405,103 @@ def fit(training: DataFrame, counts: DataFrame, classes: int = CLASSES, frequent
     model.classes = exchange_classes(bigrams, classes)
     member = np.zeros((UNITS, classes), np.int64)
     member[np.arange(UNITS), model.classes] = 1
-    pairs = member.T @ bigrams @ member
-    model.moves = np.log10(pairs + 1) - np.log10(pairs.sum(axis=1, keepdims=True) + classes)
-    model.rooms = np.log10(unit_n @ member + unit_words @ member + 1)
+    model.groups = model.classes[units]
+    _weigh(model, member.T @ bigrams @ member, unit_n @ member, unit_words @ member)
     return model
 
 
+def _weigh(model: Model, pairs: np.ndarray, n: np.ndarray, words: np.ndarray) -> None:
+    """Probabilities from class bigrams, and tokens and different words of each class."""
+    model.pairs = pairs
+    model.moves = np.log10(pairs + 1) - np.log10(pairs.sum(axis=1, keepdims=True) + len(pairs))
+    model.rooms = np.log10(n + words + 1)
+
+
 # --- scoring ------------------------------------------------------------------------------------------
 
 
 def _partial_scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Per text: what the model knows without the counts of rare words, and those words."""
+    """Per text: the classes of its tokens as far as the task knows, and its rare words with their places."""
     from pyspark import TaskContext
 
     place = TaskContext.get().partitionId() << 33
     for batch in _slices(batches):
         size = batch.num_rows
         hashes, bundle, text = tokens_of(batch.column("text"))
-        unit, at = model.unit(hashes, bundle)
-        group = model.classes[unit]
-        before = np.r_[model.classes[-1], group[:-1]]
+        group, at = model.group(hashes, bundle)
         common = at >= 0
+        n = np.bincount(text, minlength=size)
+        begin = np.r_[0, np.cumsum(n)]
         sums = [
-            np.bincount(text, minlength=size),
+            n,
             np.bincount(text[common], minlength=size),
             np.bincount(text[common], np.log10(model.counts[at[common]] + 1.0), size).astype(float),
-            np.bincount(text, model.moves[before, group] - model.rooms[group], size).astype(float),
         ]
         rare = np.flatnonzero(~common)
-        order = np.lexsort((hashes[rare], text[rare]))
-        word, owner = hashes[rare][order], text[rare][order]
-        new = np.flatnonzero(np.r_[len(word) > 0, (word[1:] != word[:-1]) | (owner[1:] != owner[:-1])][: len(word)])
-        times = np.diff(np.r_[new, len(word)]).astype(np.int32)
-        word, owner = word[new], owner[new]
-        offsets = pa.array(np.searchsorted(owner, np.arange(size + 1)), pa.int32())
+        offsets = pa.array(np.searchsorted(rare, begin), pa.int32())
+        known = group.astype(np.uint8).tobytes()
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.arange(place, place + size)),
                 batch.column("doc_id"),
                 batch.column("held_out"),
                 *(pa.array(s) for s in sums),
-                pa.ListArray.from_arrays(offsets, pa.array(word, pa.int64())),
-                pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
+                pa.array([known[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)], pa.binary()),
+                pa.ListArray.from_arrays(offsets, pa.array(hashes[rare], pa.int64())),
+                pa.ListArray.from_arrays(offsets, pa.array(rare - begin[text[rare]], pa.int32())),
             ],
-            ["place", "doc_id", "held_out", "n_tokens", "n_common", "log_common", "log_class", "rare", "times"],
+            ["place", "doc_id", "held_out", "n_tokens", "n_common", "log_common", "groups", "rare", "at"],
         )
         place += size
 
 
 _PARTIAL = (
     "place bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_common bigint, log_common double, "
-    "log_class double, rare array<bigint>, times array<int>"
+    "groups binary, rare array<bigint>, at array<int>"
 )
+_DONE = ["doc_id", "held_out", "n_tokens", "n_known", "log_counts"]
+
+
+def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of all tokens, those of rare words put where they belong."""
+    for batch in batches:
+        groups, found = batch.column("groups"), batch.column("found")
+        whole = []
+        for known, cells in zip(groups, found, strict=True):
+            data = known.as_py()
+            if cells.is_valid:
+                own = np.frombuffer(data, np.uint8).copy()
+                own[cells.values.field("at").to_numpy()] = cells.values.field("group").to_numpy()
+                data = own.tobytes()
+            whole.append(data)
+        columns = [batch.column(c) for c in _DONE] + [pa.array(whole, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, [*_DONE, "groups"])
+
+
+def _steps(groups: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class before each token, its class, its text; every text closes with the end, whose class is its own."""
+    texts = groups.to_pylist()
+    group = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64)
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    return np.r_[end, group[:-1]][: len(group)], group, owner
+
+
+def _class_bigrams(batches: Iterator[pa.RecordBatch], classes: int, end: int) -> Iterator[pa.RecordBatch]:
+    n = np.zeros(classes * classes, np.int64)
+    for batch in batches:
+        before, group, _ = _steps(batch.column("groups"), end)
+        n += np.bincount(before * classes + group, minlength=len(n))
+    found = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n[found])], ["pair", "n"])
+
+
+def _class_scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        before, group, owner = _steps(batch.column("groups"), int(model.classes[-1]))
+        sums = np.bincount(owner, model.moves[before, group] - model.rooms[group], batch.num_rows).astype(float)
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in _DONE), pa.array(sums)], [*_DONE, "log_class"]
+        )
 
 
 def is_held_out():
@@ -351,24 +515,51 @@ def score(docs: DataFrame, classes: int = CLASSES, frequent: int = FREQUENT) ->
     found = training.mapInArrow(_word_counts, "word bigint, bundle int, n bigint")
     counts = stage(found.groupBy("word").agg(F.min("bundle").alias("bundle"), F.sum("n").alias("n")))
     model = fit(training, counts, classes, frequent)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    words = classes_of_words(training, counts, model)
+    model.groups = _frequent_words(words, frequent, "group")[2]
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(model)
     partial = stage(rows.mapInArrow(lambda b: _partial_scores(b, shared.value), _PARTIAL))
 
-    rare = partial.select("place", F.explode(F.arrays_zip("rare", "times")).alias("r"))
-    rare = rare.select("place", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
-    joined = rare.join(counts.select("word", "n"), "word")  # words unknown to training add log10(1)
+    rare = partial.select("place", F.explode(F.arrays_zip("rare", "at")).alias("r"))
+    rare = rare.select("place", F.col("r.rare").alias("word"), F.col("r.at").alias("at"))
+    joined = rare.join(words.select("word", "n", "group"), "word")  # words unknown to training add log10(1)
     sums = joined.groupBy("place").agg(
-        F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("log_rare")
+        F.count("*").alias("n_rare"),
+        F.sum(F.log10(F.col("n") + 1.0)).alias("log_rare"),
+        F.collect_list(F.struct("at", "group")).alias("found"),
     )
-    whole = partial.drop("rare", "times").join(sums, "place", "left")
-    log_counts = F.col("log_common") + F.coalesce("log_rare", F.lit(0.0))
-    room = math.log10(model.tokens + model.words + 1)
-    return whole.select(
+    whole = partial.drop("rare", "at").join(sums, "place", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_common") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
+        (F.col("log_common") + F.coalesce("log_rare", F.lit(0.0))).alias("log_counts"),
+        "groups",
+        "found",
+    )
+    done = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, log_counts double"
+    filled = stage(whole.mapInArrow(_filled, f"{done}, groups binary"))
+
+    end = int(model.classes[-1])
+    seen = filled.where("not held_out").select("groups").mapInArrow(
+        lambda b: _class_bigrams(b, classes, end), "pair bigint, n bigint"
+    )
+    pairs, n, different = np.zeros(classes * classes, np.int64), np.zeros(classes, np.int64), np.zeros(classes, np.int64)
+    for row in seen.groupBy("pair").agg(F.sum("n").alias("n")).collect():  # at most classes^2 rows
+        pairs[row["pair"]] = row["n"]
+    for row in words.groupBy("group").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
+        n[row["group"]], different[row["group"]] = row["n"], row["words"]
+    _weigh(model, pairs.reshape(classes, classes), n, different)
+    weighed = context.broadcast(model)
+    scored = filled.mapInArrow(lambda b: _class_scores(b, weighed.value), f"{done}, log_class double")
+    room = math.log10(model.tokens + model.words + 1)
+    return scored.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
         F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        (log_counts - F.col("n_tokens") * F.lit(room)).alias("base_score"),
-        (log_counts + F.col("log_class")).alias("score"),
+        (F.col("log_counts") - F.col("n_tokens") * F.lit(room)).alias("base_score"),
+        (F.col("log_counts") + F.col("log_class")).alias("score"),
     )

@@ -148,3 +148,50 @@ def test_odd_rows_empty_tables_and_clashing_names(spark):
     assert lm.score(docs.limit(0)).collect() == []
     only = docs.where(lm.is_held_out())
     check([r[:2] for r in rows if held_out(r[0])], lm.score(only).collect())
+
+
+def test_gains_are_those_of_the_likelihood():
+    rng = np.random.default_rng(3)
+    units, classes = 12, 4
+    ring = rng.integers(0, units, 300) * rng.integers(0, 2, 300)  # every word has as many before as behind it
+    bigrams = np.zeros((units, units), int)
+    np.add.at(bigrams, (ring, np.roll(ring, -1)), 1)
+    for _ in range(3):
+        found = rng.integers(0, classes, units)
+        member = np.eye(classes, dtype=int)[found]
+        pairs = member.T @ bigrams @ member
+        own = np.diagonal(bigrams)
+        for u in range(units):
+            row = np.array([u])
+            gain = lm.word_gains((bigrams @ member)[row], (bigrams.T @ member)[row], own[row], found[row], pairs)[0]
+            for c in range(classes):
+                other = found.copy()
+                other[u] = c
+                more = likelihood(bigrams, other, classes) - likelihood(bigrams, found, classes)
+                assert gain[c] - gain[found[u]] == pytest.approx(more, abs=1e-6)
+
+
+@pytest.mark.parametrize("frequent", [lm.FREQUENT, 600, 0])
+def test_words_beyond_the_units_are_clustered_one_by_one(spark, frequent):
+    """Rare words of one ending that stand among different words get different classes."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        kind = "xy"[i % 2]
+        words = [f"{kind}{k}" for k in range(lm.OWN_UNITS // 2)]
+        words += [f"{kind}{rng.randrange(40)}same" for _ in range(20)]
+        rows.append((i, " ".join(rng.sample(words, len(words))), "en", "s", 1))
+    docs = documents(spark, rows)
+    training = docs.where(~lm.is_held_out()).select("text")
+    counts = training.mapInArrow(lm._word_counts, "word bigint, bundle int, n bigint").groupBy("word").agg(
+        {"bundle": "min", "n": "sum"}).toDF("word", "bundle", "n")
+    words = lm.classes_of_words(training, counts, lm.fit(training, counts, 6, max(frequent, 600))).collect()
+    group = {r["word"]: r["group"] for r in words}
+    assert len(words) == counts.count()
+
+    def of(prefix):
+        texts = pa.array([f"{prefix}{i}same" for i in range(40)])
+        return {group[h] for h in lm.tokens_of(texts)[0].tolist() if h != lm.END}
+
+    assert not of("x") & of("y")
+    check([r[:2] for r in rows], lm.score(docs, 6, frequent).collect())
