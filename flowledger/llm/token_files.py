@@ -135,6 +135,8 @@ class Encoder:
         self.plain = re.compile("[!-~\u00c0-\u00ff]+")
         special = [re.escape(t["content"]) for t in settings["added_tokens"]]
         self.special = re.compile("|".join(special) or "(?!)")
+        # a word of ASCII letters is plain, and without such a token it holds no special one either
+        self.letters_plain = not any(t["content"].isascii() and t["content"].isalpha() for t in settings["added_tokens"])
         pattern = _cut_by_pattern(settings)
         self.pattern = regex.compile(pattern) if pattern else None
         self.byte_letters = _byte_letters()
@@ -153,7 +155,7 @@ class Encoder:
         if self.pattern is None:
             return self.whole(word)
         text = word.decode("utf-8", "replace")
-        if not self.plain.fullmatch(text) or self.special.search(text):
+        if not (self.letters_plain and word.isalpha()) and (not self.plain.fullmatch(text) or self.special.search(text)):
             return self.whole(word)
         return b"".join(map(self.pieces_known.__getitem__, self.pattern.findall(text.lower())))
 

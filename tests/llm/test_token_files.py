@@ -178,3 +178,25 @@ def test_left_over_files_are_not_read(spark, tmp_path, monkeypatch):
     assert [r["doc_id"] for r in files.read().collect()] == [1]
     assert len(list(folder.glob("ids-*"))) == 1
     assert json.loads(files.files.toJSON().first())["n_docs"] == 1
+
+
+def test_words_of_ascii_letters_need_no_look_at_other_letters_or_special_tokens():
+    own = token_files.Encoder()
+    text = b"Plain letters ONLY, don't 4 caf\xc3\xa9"
+    want = own.whole(text)
+    assert own.encode(text) == want
+    letters = b" ".join(w for w in text.split() if w.isalpha())
+    want, fresh = own.whole(letters), token_files.Encoder()
+    fresh.plain = fresh.special = None
+    assert fresh.encode(letters) == want
+
+
+def test_special_tokens_of_letters_are_found_inside_words(tmp_path):
+    library = Tokenizer.from_file(token_files.TOKENIZER)
+    library.add_special_tokens(["zebra"])
+    path = str(tmp_path / "tokenizer.json")
+    library.save(path)
+    own = token_files.Encoder(path)
+    assert not own.letters_plain
+    for text in (b"a zebra", b"zebracrossing", b"somezebrashere plain"):
+        assert own.encode(text) == own.whole(text)
