@@ -4,8 +4,8 @@ Files are read line by line, in splits. Whether a line begins a record depends o
 file: an odd number of them says that it lies inside a quoted cell. So quotes are summed up per split, the
 parity before each split is a prefix sum over the splits of its file (one row per split), and the parity before
 each line is a running sum inside its split. A record that goes over the end of a split is found the same way:
-each split learns the last record that began before it. Only the lines of records with several lines are
-grouped; all others stay where they were read.
+each split learns the last record that began before it. Lines are dealt by split once; the lines of a record are put
+together there, and only the last record of a split and what continues it go to other splits.
 
 Quotes inside a cell that is not quoted count only where they touch a comma or an end of the line. A file that
 ends inside a quoted cell, or has another header than the first file, is refused.
@@ -59,43 +59,50 @@ def records(lines: DataFrame) -> DataFrame:
     after = (F.col("entering") + F.sum("quotes").over(upto)) % 2
     begins = after == F.col("quotes")  # the parity before the line is even
     blank = (F.col("quotes") == 0) & (F.btrim("line", F.lit(" \t\r")) == "")
-    placed = stage(
+    lined = (
         lines.join(entering, split)
         .withColumn("begins", begins)
         .where(~(F.col("begins") & blank))
         .withColumns(
             {
                 "nth": F.count_if("begins").over(upto),
-                "first": F.last(F.when(F.col("begins"), F.struct("block", "place")), ignorenulls=True).over(upto),
+                "first": F.last(F.when(F.col("begins"), F.col("place")), ignorenulls=True).over(upto),
             }
         )
-        .drop("entering")
     )
-    # what lies before each split: how many records, and the last of them
-    known = placed.groupBy(*split).agg(
-        F.count_if("begins").alias("n"),
-        F.max(F.when(F.col("begins"), F.struct("block", "place"))).alias("last"),
+    # a row per record and split; the lines of a split are together already, so this deals nothing out again. What
+    # stands before the first record of a split has no `first`: it continues a record of an earlier one.
+    pieces = stage(
+        lined.groupBy(*split, "first")
+        .agg(F.max("nth").alias("nth"), F.sort_array(F.collect_list(F.struct("place", "line"))).alias("parts"))
+        .select(*split, "first", "nth", F.array_join("parts.line", "\n").alias("text"))
     )
+    # what lies before each split: how many records, and the last of them
+    known = pieces.groupBy(*split).agg(F.max("nth").alias("n"), F.max("first").alias("last"))
+    start = F.when(F.col("last").isNotNull(), F.struct("block", F.col("last").alias("place")))
     known = stage(
         known.select(
             *split,
+            "last",
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
-            F.last("last", ignorenulls=True).over(earlier).alias("open"),
+            F.last(start, ignorenulls=True).over(earlier).alias("open"),
         )
     )
-    found = placed.join(known, split).select(
+    starts = F.col("first").isNotNull()
+    found = pieces.join(known, split).select(
         "file",
-        F.coalesce("first", "open").alias("first"),
-        F.when(F.col("begins"), F.col("before") + F.col("nth") - 1).alias("number"),
-        F.struct("block", "place", "line").alias("part"),
-        (F.col("begins") & (F.col("quotes") == 0)).alias("whole"),
+        F.when(starts, F.struct("block", F.col("first").alias("place"))).otherwise(F.col("open")).alias("first"),
+        F.when(starts, F.col("before") + F.col("nth") - 1).alias("number"),
+        "block",
+        "text",
+        (F.col("first") < F.col("last")).alias("whole"),  # null: nothing begins here
     )
-    alone = found.where("whole").select("file", "first", "number", F.col("part.line").alias("record"))
+    alone = found.where("whole").select("file", "first", "number", F.col("text").alias("record"))
     together = (
-        found.where(~F.col("whole"))
+        found.where("whole IS NOT TRUE")
         .groupBy("file", "first")
-        .agg(F.max("number").alias("number"), F.sort_array(F.collect_list("part")).alias("parts"))
-        .select("file", "first", "number", F.array_join("parts.line", "\n").alias("record"))
+        .agg(F.max("number").alias("number"), F.sort_array(F.collect_list(F.struct("block", "text"))).alias("parts"))
+        .select("file", "first", "number", F.array_join("parts.text", "\n").alias("record"))
     )
     text = F.regexp_replace("record", r"\r\z", "")
     return alone.unionByName(together).select("file", "first.*", "number", text.alias("record"))

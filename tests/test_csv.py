@@ -7,7 +7,9 @@ import pytest
 from helpers import event, write_csv
 
 from flowledger.constants import SOURCE_COLUMNS
+from flowledger.operators import numbering
 from flowledger.operators.validation import validate
+from flowledger.sources import csv_records
 from flowledger.sources.workflow_csv import read_workflow_csv
 
 
@@ -112,3 +114,21 @@ def test_bookkeeping_columns_stay_out_of_typed_columns(spark, tmp_path):
     row = validate(read_workflow_csv(spark, path)).rows.first()
     assert row.validation_status == "valid"
     assert row.records_touched == 7
+
+
+def test_lines_are_dealt_once(spark, tmp_path, monkeypatch):
+    path = write_csv(tmp_path / "a.csv", [event(queue_name="one\n\ntwo\n,three") for _ in range(50)])
+    staged = []
+
+    def stage(df):
+        found = numbering.stage(df)
+        staged.append((df._jdf.queryExecution().executedPlan().toString(), found))
+        return found
+
+    monkeypatch.setattr(csv_records, "stage", stage)
+    lines = numbering.stage(csv_records.read_lines(spark, path))
+    assert lines.count() == 201
+    assert csv_records.records(lines).count() == 51
+    plan, pieces = next((plan, df) for plan, df in staged if {"text", "line"} & set(df.columns))
+    assert pieces.count() == 51  # not one row per line, to be dealt again by record
+    assert plan.count("Exchange hashpartitioning") == 1
