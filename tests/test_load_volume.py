@@ -6,7 +6,7 @@ import re
 from decimal import Decimal
 
 from helpers import AS_OF, event, events
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from flowledger.functions.numeric import exact_sum
 from flowledger.operators.keyed import replace_by_key
@@ -76,3 +76,14 @@ def test_a_run_looks_for_repeated_source_rows_once(spark, tmp_path, monkeypatch)
     result = pipeline.refresh_rows(store, events(spark, *repeated, other), f"{tmp_path}/again", AS_OF)
     assert result["staging_rows"] == 2
     assert store["workflow_events_raw"].count() == 5
+
+
+def test_parts_of_a_shuffle_stay_small_whatever_number_the_session_has(spark):
+    # some 70 MB that do not compress, in a session of 4 shuffle partitions
+    wide = {f"c{i}": F.xxhash64("id", F.lit(i)) for i in range(8)}
+    dealt = spark.range(1_000_000).withColumns(wide)
+    latest = dealt.withColumn("n", F.row_number().over(Window.partitionBy("c0").orderBy("id")))
+    kept = F.bit_xor(F.xxhash64("n", *wide))
+    sizes = latest.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("rows"), kept).collect()
+    assert sum(r.rows for r in sizes) == 1_000_000
+    assert max(r.rows for r in sizes) < 150_000
